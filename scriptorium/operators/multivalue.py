@@ -16,7 +16,7 @@ from scriptorium.operators.eav import by_entity, once
 SEPARATORS = r"[,;/|•·\t\n\r]|(?<=\s)e(?=\s)"
 SPANS = r'"(?:[^"]|"")*"|«[^»]*»|“[^”]*”|\((?:[^()]|\([^()]*\))*\)|[\uE000\uE001]'
 _OPEN, _CLOSE = "\uE000", "\uE001"
-_BLANK = r"^[\s ]+|[\s ]+$"
+_BLANK = r"^[\s\u00A0]+|[\s\u00A0]+$"
 
 
 def split_values(text: Column) -> Column:
