@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptorium.llm import encoding
+from scriptorium.llm import encoding, topics
 from scriptorium.session import table
 
 
@@ -13,4 +13,11 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encoded(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p8_ids,)}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The subject areas of each document."""
+    docs = table(spark, sf_dir, "documents")
+    model = topics.fit(docs, table(spark, sf_dir, "etichette_doc"), table(spark, sf_dir, "aree"))
+    return topics.assigned(docs, model).select("doc_id", "area")
+
+
+QUERIES = {f.__name__: f for f in (p8_ids, p10_found)}
