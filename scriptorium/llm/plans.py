@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from scriptorium.llm import encoding, topics
-from scriptorium.session import table
+from scriptorium.llm import encoding, mixing, topics
+from scriptorium.session import table, written
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +14,27 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encoded(table(spark, sf_dir, "documents"))
 
 
+def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    docs, targets = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pesi_fonti")
+    named = docs.join(targets.select("source").distinct(), "source", "left_semi")
+    sizes = encoding.encoded(named, ids=False)
+    model = topics.fit(docs, table(spark, sf_dir, "etichette_doc"), table(spark, sf_dir, "aree"))
+    # the topic of a document is its commonest area, the first row that `assigned` gives
+    areas = topics.assigned(named, model).groupBy("doc_id").agg(F.max_by("area", F.struct("quota", "area")).alias("area"))
+    full = named.select("doc_id", "source", "lang").join(sizes, "doc_id").join(areas, "doc_id", "left")
+    return mixing.mixed(written(full, "pesi"), targets), targets
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the mix and how often each is used."""
+    return _mix(spark, sf_dir)[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target share and reached share of each source."""
+    return mixing.shares(*_mix(spark, sf_dir))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The subject areas of each document."""
     docs = table(spark, sf_dir, "documents")
@@ -20,4 +42,9 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.assigned(docs, model).select("doc_id", "area")
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p10_found)}
+def p10_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents per subject area; a document counts for each of its areas."""
+    return p10_found(spark, sf_dir).groupBy("area").agg(F.count(F.lit(1)).alias("documenti"))
+
+
+QUERIES = {f.__name__: f for f in (p8_ids, p9_mix, p9_shares, p10_found, p10_composition)}

@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bounds of the model: labelled documents used for the fit (by hash of their id, none longer than FIT_CHARS), terms, dimensions.
-FIT_DOCS, FIT_CHARS, TERMS, DIMENSIONS, ROUNDS = 6000, 20_000, 6000, 64, 3
-#: A passage has an area at this cosine; a document at this share of its passages with an area, and more than one passage unless all of them are its.
-COSINE, SHARE = 0.35, 0.2
+FIT_DOCS, FIT_CHARS, TERMS, DIMENSIONS, ROUNDS, FIT_COSINE = 6000, 20_000, 6000, 40, 3, 0.35
+#: A passage has an area at this cosine. A document has its commonest area, and each other one with so many passages and that share of those with an area.
+COSINE, LEAST, SHARE = 0.4, 3, 0.12
 NONE = "nessuna"
 
 _CUT = re.compile("[-¬‐\xad]\\s*\\n\\s*")
@@ -135,8 +135,8 @@ class TopicModel:
         total = counts.sum(1)
         for d in np.flatnonzero(total):
             row, t = counts[d], total[d]
-            chosen = [(names[a], row[a] / t) for a in np.argsort(-row, kind="stable") if row[a] / t >= SHARE and (row[a] > 1 or row[a] == t)]
-            out[d] = chosen or [(names[int(row.argmax())], row.max() / t)]
+            ranked = np.argsort(-row, kind="stable")
+            out[d] = [(names[a], row[a] / t) for k, a in enumerate(ranked) if k == 0 or (row[a] >= LEAST and row[a] / t >= SHARE)]
         return out
 
 
@@ -155,7 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, areas: DataFrame, key: str = "doc_id
     texts = docs.select(key, F.col(column).alias("_t"), F.coalesce(F.lower("lang"), F.lit("?")).alias("_l") if "lang" in docs.columns else F.lit("?").alias("_l"))
     sample = texts.where(F.col("_t").isNotNull() & (F.length("_t") <= FIT_CHARS)).join(sets, key).orderBy(F.xxhash64(key), key).limit(FIT_DOCS).collect()
 
-    vocabulary = {t: i for i, t in enumerate(top.termine) if t not in ".!?"}
+    vocabulary = {t: i for i, t in enumerate(top.termine)} | dict.fromkeys(".!?", _END)
     names = sorted(known)
     terms, passage, doc = _passages([r._t for r in sample], vocabulary)
     if not len(terms):
@@ -195,7 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, areas: DataFrame, key: str = "doc_id
             fits = np.where(allowed[doc], per_area, -1.0)
             best = fits.argmax(1)
             overall = per_area.max(1)
-            sure = (fits.max(1) >= COSINE) & (fits.max(1) >= overall - 0.1)
+            sure = (fits.max(1) >= FIT_COSINE) & (fits.max(1) >= overall - 0.1)
             member = np.zeros_like(member)
             member[np.flatnonzero(sure), best[sure]] = 1.0
     return TopicModel(vocabulary, vectors.astype(np.float32), heads, [names[a] for a in at])
