@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.llm import encoding, mixing, topics
+from scriptorium.llm import encoding, markup, mixing, topics
 from scriptorium.session import table, written
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks and the languages of which they hold markup."""
+    return markup.found(table(spark, sf_dir, "pag_n_res"))
+
+
+def p1_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each block once, with its clean text."""
+    return markup.cleaned(table(spark, sf_dir, "pag_n_res")).dropDuplicates(["blocco_id"])
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of each document by byte_bpe_50k, without special tokens."""
     return encoding.encoded(table(spark, sf_dir, "documents"))
@@ -47,4 +57,4 @@ def p10_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p10_found(spark, sf_dir).groupBy("area").agg(F.count(F.lit(1)).alias("documenti"))
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p9_mix, p9_shares, p10_found, p10_composition)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p8_ids, p9_mix, p9_shares, p10_found, p10_composition)}
