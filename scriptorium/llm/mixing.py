@@ -8,15 +8,43 @@ tokens of a cell in hash order, so each document is used floor or ceil of its ex
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from scriptorium.llm import encoding, topics
+
 #: Passes of the fitting, and hash slots in which cumulated expectations of a cell are computed.
 PASSES, SLOTS = 200, 64
 
 
+#: Words in the transducer while only counts of tokens are asked.
+COUNT_WORDS = 16_384
+
+
+def measured(docs: DataFrame, everything: DataFrame, model: topics.TopicModel, key: str = "doc_id", column: str = "text") -> DataFrame:
+    """(key, source, lang, area, n_token) of docs: tokens and commonest subject area, both from one reading of the text.
+
+    everything: the documents whose words make the lexicon. Null and empty texts have 0 tokens and no area.
+    """
+    lexicon = encoding.build_lexicon(docs.sparkSession, everything, column, size=COUNT_WORDS)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = encoding._ready(lexicon, encoding.VOCABULARY)
+        for b in batches:
+            texts = b.column(3).to_pylist()
+            areas = [a[0][0] if a else None for a in shared.value.areas_of(texts)]
+            sizes = [len(encoding.packed(t, words)) >> 2 for t in texts]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(areas, pa.string()), pa.array(sizes, pa.int64())], [key, "source", "lang", "area", "n_token"])
+
+    return docs.select(key, "source", "lang", column).mapInArrow(measure, f"{key} {dict(docs.dtypes)[key]}, source string, lang string, area string, n_token long")
+
+
 def rake(cells: pd.DataFrame, targets: pd.DataFrame, total: float | None = None) -> pd.DataFrame:
     """cells (source, lang, area, n_token) with `usi`, the expected uses of each document of a cell.
 

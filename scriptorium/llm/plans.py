@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.llm import encoding, markup, mixing, topics
+from scriptorium.llm import encoding, markup, mixing, scans, topics
 from scriptorium.session import table, written
 
 
@@ -19,6 +19,11 @@ def p1_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markup.cleaned(table(spark, sf_dir, "pag_n_res")).dropDuplicates(["blocco_id"])
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks and the kinds of noise in them."""
+    return scans.noise(table(spark, sf_dir, "pag_n_res"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of each document by byte_bpe_50k, without special tokens."""
     return encoding.encoded(table(spark, sf_dir, "documents"))
@@ -27,12 +32,8 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     docs, targets = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pesi_fonti")
     named = docs.join(targets.select("source").distinct(), "source", "left_semi")
-    sizes = encoding.encoded(named, ids=False)
     model = topics.fit(docs, table(spark, sf_dir, "etichette_doc"), table(spark, sf_dir, "aree"))
-    # the topic of a document is its commonest area, the first row that `assigned` gives
-    areas = topics.assigned(named, model).groupBy("doc_id").agg(F.max_by("area", F.struct("quota", "area")).alias("area"))
-    full = named.select("doc_id", "source", "lang").join(sizes, "doc_id").join(areas, "doc_id", "left")
-    return mixing.mixed(written(full, "pesi"), targets), targets
+    return mixing.mixed(written(mixing.measured(named, docs, model), "pesi"), targets), targets
 
 
 def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,4 +58,4 @@ def p10_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p10_found(spark, sf_dir).groupBy("area").agg(F.count(F.lit(1)).alias("documenti"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p8_ids, p9_mix, p9_shares, p10_found, p10_composition)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p3_found, p8_ids, p9_mix, p9_shares, p10_found, p10_composition)}

@@ -18,7 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bounds of the model: labelled documents used for the fit (by hash of their id, none longer than FIT_CHARS), terms, dimensions.
-FIT_DOCS, FIT_CHARS, TERMS, DIMENSIONS, ROUNDS, FIT_COSINE = 6000, 20_000, 6000, 40, 3, 0.35
+FIT_DOCS, FIT_CHARS, TERMS, DIMENSIONS, ROUNDS, FIT_COSINE = 2400, 20_000, 6000, 40, 3, 0.35
+#: Terms lighter than this part of the heaviest say nothing about areas and are left out of the model.
+LIGHT = 0.02
 #: A passage has an area at this cosine. A document has its commonest area, and each other one with so many passages and that share of those with an area.
 COSINE, LEAST, SHARE = 0.4, 3, 0.12
 NONE = "nessuna"
@@ -198,7 +200,8 @@ def fit(docs: DataFrame, labels: DataFrame, areas: DataFrame, key: str = "doc_id
             sure = (fits.max(1) >= FIT_COSINE) & (fits.max(1) >= overall - 0.1)
             member = np.zeros_like(member)
             member[np.flatnonzero(sure), best[sure]] = 1.0
-    return TopicModel(vocabulary, vectors.astype(np.float32), heads, [names[a] for a in at])
+    heavy = {t: i for t, i in vocabulary.items() if i < 0 or weights[i] >= LIGHT * weights.max()}
+    return TopicModel(heavy, vectors.astype(np.float32), heads, [names[a] for a in at])
 
 
 def assigned(docs: DataFrame, model: TopicModel, key: str = "doc_id", column: str = "text") -> DataFrame:
