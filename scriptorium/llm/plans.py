@@ -59,3 +59,6 @@ def p10_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p3_found, p8_ids, p9_mix, p9_shares, p10_found, p10_composition)}
+
+# no equivalent in SQL: the operators are tested against the tokenizer, brute force and held-out labels
+SQL: dict[str, str] = {}
