@@ -27,14 +27,19 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LEXICON_WORDS = 65_536
 # fixed values: the white space of Unicode, and the vocabulary's pattern for pieces of a text
 _WS = r"\t-\r \x85\xa0  -     　"
+_RARE_WS = ("\t", "\x0b", "\x0c", "\r", "\x85", "\xa0", " ", *map(chr, range(0x2000, 0x200B)), " ", " ", " ", " ", "　")
 PIECES = rf"'(?:[sdmt]|ll|ve|re)| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
-_UNEVEN = re.compile(rf"  | \n|\n |\n\n\n|[\t\x0b-\r\x85\xa0  -     　]|[{_WS}]\Z")
 _SEGMENT = re.compile(rf"[{_WS}]*[^{_WS}]+|[{_WS}]+")
 
 
 def words_of(text: str) -> list[str] | None:
     """The words of an evenly spaced text: the first as it is, others stand for blank + word, or begin with a line end. None if spacing is uneven."""
-    return None if _UNEVEN.search(text) else text.replace("\n", " \n").split(" ")
+    if "  " in text or " \n" in text or "\n " in text or "\n\n\n" in text or text[-1] in " \n":
+        return None
+    for c in _RARE_WS:
+        if c in text:
+            return None
+    return text.replace("\n", " \n").split(" ")
 
 
 def _whole(word: str) -> str:
@@ -110,6 +115,16 @@ class _Words(dict):
 
     def __init__(self, lexicon: Lexicon, merger: Merger):
         self.lexicon, self.merger = lexicon, merger
+        self.segments: dict[str, bytes] = {}
+
+    def segment(self, text: str) -> bytes:
+        """Ids of blanks of any kind and the word after them."""
+        got = self.segments.get(text)
+        if got is None:
+            if len(self.segments) > 200_000:
+                self.segments.clear()
+            got = self.segments[text] = self.exact(text)
+        return got
 
     def exact(self, text: str) -> bytes:
         return np.array(self.merger.ids(text), "<i4").tobytes()
@@ -176,7 +191,7 @@ def packed(text: str | None, words: _Words) -> bytes:
         return b""
     parts = words_of(text)
     if parts is None:
-        return b"".join(words[s[1:]] if s[0] == " " and len(s) > 1 and s[1] not in " \n" else words.exact(s) for s in _SEGMENT.findall(text))
+        return b"".join(words[s[1:]] if s[0] == " " and len(s) > 1 and s[1] not in " \n" else words.segment(s) for s in _SEGMENT.findall(text))
     return words.exact(parts[0]) + b"".join(map(words.__getitem__, parts[1:]))
 
 

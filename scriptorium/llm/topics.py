@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +36,45 @@ def tokens(text: str | None) -> list[str]:
     return _TOKEN.findall((_CUT.sub("", text) if "\n" in text else text).lower())
 
 
+def _pieces(text: str | None) -> list[str]:
+    """What stands between blanks, in lower case: tokens of a text are those of its pieces in turn."""
+    if not text:
+        return []
+    return (_CUT.sub("", text) if "\n" in text else text).lower().split()
+
+
+class _Tokens(dict):
+    """Piece -> its tokens. A bounded cache, since pieces recur."""
+
+    def __missing__(self, piece: str) -> tuple[str, ...]:
+        if len(self) > 300_000:
+            self.clear()
+        self[piece] = got = tuple(_TOKEN.findall(piece))
+        return got
+
+
+class _Codes(dict):
+    """Piece -> packed codes of its tokens by a vocabulary."""
+
+    def __init__(self, vocabulary: dict[str, int]):
+        self.vocabulary = vocabulary
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) > 300_000:
+            self.clear()
+        self[piece] = got = np.array([self.vocabulary.get(t, _OTHER) for t in _TOKEN.findall(piece)], np.int32).tobytes()
+        return got
+
+
 def document_frequencies(docs: DataFrame, column: str = "text") -> DataFrame:
     """(termine, n): in how many documents a term occurs, over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
+        known = _Tokens()
         for b in batches:
             for t in b.column(0).to_pylist():
-                seen.update(set(tokens(t)))
+                seen.update(set().union(*map(known.__getitem__, set(_pieces(t)))))
             if len(seen) > 300_000:
                 yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["termine", "n"])
                 seen.clear()
@@ -54,16 +84,12 @@ def document_frequencies(docs: DataFrame, column: str = "text") -> DataFrame:
     return docs.select(column).mapInArrow(count, "termine string, n long").groupBy("termine").agg(F.sum("n").alias("n"))
 
 
-def _passages(texts: list[str | None], vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _passages(texts: list[str | None], known: _Codes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Term ids, the passage of each, and the document of each passage."""
-    codes, docs = [], []
-    for d, t in enumerate(texts):
-        c = np.fromiter(map(vocabulary.get, tokens(t), repeat(_OTHER)), np.int32)
-        codes.append(np.append(c, _END))
-        docs.append(np.full(len(c) + 1, d, np.int32))
-    if not codes:
-        return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
-    flat, doc = np.concatenate(codes), np.concatenate(docs)
+    mark = np.array([_END], np.int32).tobytes()
+    codes = [b"".join(map(known.__getitem__, _pieces(t))) + mark for t in texts]
+    flat = np.frombuffer(b"".join(codes), np.int32)
+    doc = np.repeat(np.arange(len(texts), dtype=np.int32), [len(c) >> 2 for c in codes])
     end = flat == _END
     passage = np.cumsum(end) - end
     keep = flat >= 0
@@ -119,10 +145,15 @@ class TopicModel:
 
     def __init__(self, vocabulary: dict[str, int], vectors: np.ndarray, centroids: np.ndarray, areas: list[str]):
         self.vocabulary, self.vectors, self.centroids, self.areas = vocabulary, vectors, centroids, areas
+        self._codes: _Codes | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_codes": None}
 
     def areas_of(self, texts: list[str | None]) -> list[list[tuple[str, float]]]:
         """(area, share of passages) of each text, largest first."""
-        terms, passage, doc = _passages(texts, self.vocabulary)
+        self._codes = self._codes or _Codes(self.vocabulary)
+        terms, passage, doc = _passages(texts, self._codes)
         out: list[list[tuple[str, float]]] = [[] for _ in texts]
         if not len(terms) or not len(self.centroids):
             return out
@@ -159,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, areas: DataFrame, key: str = "doc_id
 
     vocabulary = {t: i for i, t in enumerate(top.termine)} | dict.fromkeys(".!?", _END)
     names = sorted(known)
-    terms, passage, doc = _passages([r._t for r in sample], vocabulary)
+    terms, passage, doc = _passages([r._t for r in sample], _Codes(vocabulary))
     if not len(terms):
         return TopicModel(vocabulary, np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), [])
     allowed = np.zeros((len(sample), len(names)), bool)
