@@ -9,6 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def word_count(text: str) -> int:
@@ -251,7 +252,7 @@ def accepted(events: DataFrame, key: str, at: str, seconds: int) -> DataFrame:
 
 def bands(rows: DataFrame, keys: list[str], y: str, tolerance: float = 4.0) -> DataFrame:
     """rows with `banda`: rows of a page in order of y belong together while they stay within `tolerance` of the band's first."""
-    schema = rows.schema.add("banda", "int")
+    schema = T.StructType([*rows.schema.fields, T.StructField("banda", T.IntegerType())])
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(y)
@@ -267,7 +268,7 @@ def bands(rows: DataFrame, keys: list[str], y: str, tolerance: float = 4.0) -> D
 
 def demoted_repeats(titles: DataFrame, book: str, page: str, order: list[str], title: str, level: str, reach: int = 6) -> DataFrame:
     """titles with `livello_nuovo`: a title that repeats one of the last `reach` pages goes one level below that one's new level."""
-    schema = titles.schema.add("livello_nuovo", "int")
+    schema = T.StructType([*titles.schema.fields, T.StructField("livello_nuovo", T.IntegerType())])
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([page, *order])

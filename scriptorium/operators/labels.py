@@ -40,7 +40,10 @@ def label_report(units: DataFrame) -> DataFrame:
 
 def threshold_sweep(pairs: DataFrame, thresholds: list[float], scores: str = "punti", truth: str = "veri") -> DataFrame:
     """(soglia, tp, fp, fn, precisione, richiamo, f1, esatti): micro measures for each threshold, in one pass over the rows."""
-    wide = pairs.select(truth, F.explode(F.array(*[F.struct(F.lit(t).alias("soglia"), F.map_keys(F.map_filter(scores, lambda _, v, t=t: v >= t)).alias("trovati")) for t in thresholds])).alias("_x")).select(truth, "_x.*")
+    def found(t: float):
+        return F.map_keys(F.map_filter(scores, lambda _, v: v >= t))
+
+    wide = pairs.select(truth, F.explode(F.array(*[F.struct(F.lit(t).alias("soglia"), found(t).alias("trovati")) for t in thresholds])).alias("_x")).select(truth, "_x.*")
     hit = F.size(F.array_intersect("trovati", truth))
     sums = wide.groupBy("soglia").agg(
         F.sum(hit).cast("bigint").alias("tp"),

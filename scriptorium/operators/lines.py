@@ -20,7 +20,7 @@ def text_blocks(docs: DataFrame, key: list[str], text: str = "text") -> DataFram
     step = F.aggregate(
         F.sequence(F.lit(1), F.size(lines)),
         F.array().cast("array<struct<a:bigint,z:bigint>>"),
-        lambda acc, i: F.when(F.trim(F.element_at(lines, i)) == "", acc)
+        lambda acc, i: F.when(~F.element_at(lines, i).rlike(r"[^ \t\r]"), acc)
         .when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["z"] == i - 1), F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(F.try_element_at(acc, F.lit(-1))["a"].alias("a"), i.cast("bigint").alias("z")))))
         .otherwise(F.concat(acc, F.array(F.struct(i.cast("bigint").alias("a"), i.cast("bigint").alias("z"))))),
     )

@@ -58,3 +58,20 @@ def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p4_found, p4_wide, p5_found, p6_found, p7_found, p7_report)}
+
+_P7 = """WITH b AS (SELECT id, CASE WHEN count(creato_il) = count(*) THEN min(creato_il) END AS nato FROM libri GROUP BY id), t AS (SELECT DISTINCT id FROM libri_tolti),
+r AS (SELECT 'entita' AS tabella, id, libro_id, creato_il AS quando FROM entita UNION ALL SELECT 'documents', doc_id, libro_id, acquisito_il FROM documents),
+o AS (SELECT DISTINCT r.tabella, r.id, r.libro_id, strftime(r.quando, '%Y-%m') AS periodo, CASE WHEN b.id IS NULL AND t.id IS NULL THEN 'mancante' WHEN b.id IS NULL THEN 'tolto' WHEN b.nato > r.quando THEN 'tardivo' END AS motivo FROM r LEFT JOIN b ON b.id = r.libro_id LEFT JOIN t ON t.id = r.libro_id WHERE r.libro_id IS NOT NULL)"""
+SQL = {
+    "p2_found": """WITH r AS (SELECT DISTINCT ON (libro_id, sessione, prog) libro_id, sessione, prog, id, classe, coalesce(annulla, false) AS annulla,
+CASE WHEN regexp_matches(ts, '^[0-9]+$') THEN ts::bigint ELSE epoch(CASE WHEN regexp_matches(ts, '(Z|[+-][0-9]{2}:[0-9]{2})$') THEN ts ELSE ts || 'Z' END::timestamptz)::bigint END AS t FROM decisioni WHERE id IS NOT NULL OR annulla),
+d AS (SELECT *, sum(CASE WHEN annulla THEN -1 ELSE 1 END) OVER (PARTITION BY libro_id ORDER BY t, prog, sessione ROWS UNBOUNDED PRECEDING) AS d FROM r),
+f AS (SELECT *, min(d) OVER (PARTITION BY libro_id ORDER BY t, prog, sessione ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS f FROM d)
+SELECT libro_id, id, max_by(classe, (t, prog, sessione)) AS classe FROM f WHERE NOT annulla AND f >= d GROUP BY libro_id, id""",
+    "p5_found": """WITH e AS (SELECT DISTINCT libro_id, file, righe.lo AS lo, righe.hi AS hi FROM entita WHERE libro_id IS NOT NULL AND file IS NOT NULL AND righe.lo < righe.hi),
+m AS (SELECT *, max(hi) OVER (PARTITION BY libro_id, file ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM e),
+g AS (SELECT *, sum(CASE WHEN p IS NULL OR lo > p THEN 1 ELSE 0 END) OVER (PARTITION BY libro_id, file ORDER BY lo, hi) AS g FROM m), s AS (SELECT libro_id, file, min(lo) AS lo, max(hi) AS hi FROM g GROUP BY libro_id, file, g)
+SELECT libro_id, file, 'periodo' AS tipo, lo, hi FROM s UNION ALL SELECT libro_id, file, 'lacuna', hi, n FROM (SELECT libro_id, file, hi, lead(lo) OVER (PARTITION BY libro_id, file ORDER BY lo) AS n FROM s) WHERE n IS NOT NULL""",
+    "p7_found": _P7 + " SELECT DISTINCT tabella, id, motivo FROM o WHERE motivo IS NOT NULL",
+    "p7_report": _P7 + " SELECT tabella, periodo, motivo, count(DISTINCT id) AS righe, count(DISTINCT libro_id) AS chiavi FROM o WHERE motivo IS NOT NULL GROUP BY ALL",
+}

@@ -18,71 +18,68 @@ def _fold(c: str) -> str:
     return _FOLD_SQL.format(c)
 
 
-_N, _D, _B, _T = F.col("nome"), F.col("text"), F.col("block_content"), F.col("titolo")
-_BOX = G.box(F.col("block_bbox"))
-_A = "block_bbox[1], block_bbox[2]"
 # name: (table, keys, column, SQL)
 SCALARS: dict[str, tuple[str, tuple[str, ...], Callable[[], Column], str]] = {
-    "x01_name_key": ("entita", ("id",), lambda: T.name_key(_N), r"trim(regexp_replace(lower(nome), '[^\p{L}\p{N}_]+', ' ', 'g'))"),
-    "x02_letters_key": ("entita", ("id",), lambda: T.letters_key(_N), f"regexp_replace({_fold('nome')}, '[^a-z0-9]', '', 'g')"),
-    "x03_bare_name": ("entita", ("id",), lambda: T.bare_name(_N), rf"trim(regexp_replace(regexp_replace({_fold('nome')}, '\([^)]*\)', '', 'g'), '\s+', ' ', 'g'))"),
-    "x04_ascii_words": ("libri", ("id", "creato_il"), lambda: T.ascii_words(_T), f"trim(regexp_replace({_fold('titolo')}, '[^a-z0-9]+', ' ', 'g'))"),
-    "x05_line_key": ("pag_n_res", ("blocco_id",), lambda: F.md5(T.line_key(_B)), r"md5(regexp_replace(regexp_replace(regexp_replace(lower(block_content), '<[^>]*>', '', 'g'), '[#*_`|>\s]+', '', 'g'), '\.+$', ''))"),
-    "x06_heading_key": ("pag_n_res", ("blocco_id",), lambda: F.md5(T.heading_key(_B)), r"md5(regexp_replace(lower(block_content), '[^\p{L}\p{N}]+', '', 'g'))"),
-    "x07_margin_key": ("pag_n_res", ("blocco_id",), lambda: F.md5(T.margin_key(_B)), r"md5(regexp_replace(regexp_replace(lower(trim(block_content)), '\d+', '#', 'g'), '\s+', ' ', 'g'))"),
-    "x08_book_slug": ("libri", ("id", "creato_il"), lambda: T.book_slug(_T), "substring(regexp_replace(regexp_replace(lower(titolo), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 60)"),
-    "x09_chapter_slug": ("libri", ("id", "creato_il"), lambda: T.chapter_slug(_T), "substring(regexp_replace(regexp_replace(translate(lower(titolo), 'àáâäèéêëìíîïòóôöùúûü', 'aaaaeeeeiiiioooouuuu'), '[^a-z0-9.]+', '-', 'g'), '^-|-$', '', 'g'), 1, 60)"),
+    "x01_name_key": ("entita", ("id",), lambda: T.name_key(F.col("nome")), r"trim(regexp_replace(lower(nome), '[^\p{L}\p{N}_]+', ' ', 'g'))"),
+    "x02_letters_key": ("entita", ("id",), lambda: T.letters_key(F.col("nome")), f"regexp_replace({_fold('nome')}, '[^a-z0-9]', '', 'g')"),
+    "x03_bare_name": ("entita", ("id",), lambda: T.bare_name(F.col("nome")), rf"trim(regexp_replace(regexp_replace({_fold('nome')}, '\([^)]*\)', '', 'g'), '\s+', ' ', 'g'))"),
+    "x04_ascii_words": ("libri", ("id", "creato_il"), lambda: T.ascii_words(F.col("titolo")), f"trim(regexp_replace({_fold('titolo')}, '[^a-z0-9]+', ' ', 'g'))"),
+    "x05_line_key": ("pag_n_res", ("blocco_id",), lambda: F.md5(T.line_key(F.col("block_content"))), r"md5(regexp_replace(regexp_replace(regexp_replace(lower(block_content), '<[^>]*>', '', 'g'), '[#*_`|>\s]+', '', 'g'), '\.+$', ''))"),
+    "x06_heading_key": ("pag_n_res", ("blocco_id",), lambda: F.md5(T.heading_key(F.col("block_content"))), r"md5(regexp_replace(lower(block_content), '[^\p{L}\p{N}]+', '', 'g'))"),
+    "x07_margin_key": ("pag_n_res", ("blocco_id",), lambda: F.md5(T.margin_key(F.col("block_content"))), r"md5(regexp_replace(regexp_replace(lower(trim(block_content)), '\d+', '#', 'g'), '\s+', ' ', 'g'))"),
+    "x08_book_slug": ("libri", ("id", "creato_il"), lambda: T.book_slug(F.col("titolo")), "substring(regexp_replace(regexp_replace(lower(titolo), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 60)"),
+    "x09_chapter_slug": ("libri", ("id", "creato_il"), lambda: T.chapter_slug(F.col("titolo")), "substring(regexp_replace(regexp_replace(translate(lower(titolo), 'àáâäèéêëìíîïòóôöùúûü', 'aaaaeeeeiiiioooouuuu'), '[^a-z0-9.]+', '-', 'g'), '^-|-$', '', 'g'), 1, 60)"),
     "x11_levenshtein": ("entita", ("id",), lambda: F.levenshtein("nome", "nome_norm").cast("bigint"), "levenshtein(nome, nome_norm)"),
-    "x13_title_variants": ("libri", ("id", "creato_il"), lambda: F.size(T.title_variants(_T)).cast("bigint"), "case when titolo is null then null when contains(titolo, ' - ') then 3 else 1 end"),
+    "x13_title_variants": ("libri", ("id", "creato_il"), lambda: F.size(T.title_variants(F.col("titolo"))).cast("bigint"), "case when titolo is null then null when contains(titolo, ' - ') then 3 else 1 end"),
     "x14_last_year": ("libri", ("id", "creato_il"), lambda: T.last_year(F.concat_ws(" ", "titolo", F.col("anno").cast("string"))), r"try_cast(list_extract(regexp_extract_all(concat_ws(' ', titolo, anno::varchar), '\b((?:19|20)\d{2})\b', 1), -1) as int)"),
     "x19_title_from_slug": ("libri", ("id", "creato_il"), lambda: F.regexp_replace("slug", "[-_]+", " "), "regexp_replace(slug, '[-_]+', ' ', 'g')"),
-    "x20_chapter_title": ("documents", ("doc_id",), lambda: T.chapter_title(_D, F.concat(F.lit("capitolo "), F.col("doc_id"))), r"case when text is null then 'capitolo ' || doc_id else coalesce(trim(regexp_replace(list_extract(list_filter(string_split(text, chr(10))[1:12], lambda l: regexp_matches(l, '^#{1,3}\s+\S')), 1), '^#{1,3}\s+', '')), 'capitolo ' || doc_id) end"),
-    "x21_image_links": ("pag_n_res", ("blocco_id",), lambda: F.md5(T.image_links(_B, "/img/")), r"md5(regexp_replace(block_content, '!\[([^\]]*)\]\(([^)]+)\)', '![\1](/img/\2)', 'g'))"),
-    "x23_snippet": ("documents", ("doc_id",), lambda: T.snippet(T.plain_text(_D), ["regola", "tempo"]), r"with_snippet(text)"),
-    "x24_dice_repair": ("pag_n_res", ("blocco_id",), lambda: F.md5(T.repair_dice(_B)), ""),
-    "x25_doubled_letters": ("pag_n_res", ("blocco_id",), lambda: F.md5(F.replace(_B, F.lit("JJ"), F.lit("ll"))), "md5(replace(block_content, 'JJ', 'll'))"),
-    "x26_dotted_contents": ("documents", ("doc_id",), lambda: T.dotted_contents(_D), r"regexp_matches(text, '\.{4,}\s*\d+\s*$') or len(regexp_extract_all(text, '(?:\.\s?){4,}')) >= 2"),
-    "x27_functional_end": ("pag_n_res", ("blocco_id",), lambda: T.functional_end(_B), r"regexp_matches(lower(block_content), '(?:^|\s)(?:di|a|da|in|con|su|per|tra|fra|il|lo|la|i|gli|le|un|una|del|della|dei|delle|al|alla|e|o)\s*$')"),
-    "x28_only_numbers": ("pag_n_res", ("blocco_id",), lambda: T.only_numbers(_B), r"regexp_matches(block_content, '^[\d\s.,;:/+\-–—()]+$')"),
-    "x28_dice_header": ("pag_n_res", ("blocco_id",), lambda: T.dice_header(_B), r"regexp_matches(lower(block_content), '^\s*\d*d(?:4|6|8|10|12|20|100)\b')"),
-    "x30_suspect_title": ("pag_n_res", ("blocco_id",), lambda: (_B != F.upper(_B)) & ~T.rooms_code(_B), r"block_content <> upper(block_content) and not regexp_matches(block_content, '^[A-Z]?\d{1,3}[a-z]?[.:]\s')"),
-    "x31_capital": ("entita", ("id",), lambda: T.capital(F.trim(_N)), "upper(substring(trim(nome), 1, 1)) || lower(substring(trim(nome), 2))"),
+    "x20_chapter_title": ("documents", ("doc_id",), lambda: T.chapter_title(F.col("text"), F.concat(F.lit("capitolo "), F.col("doc_id"))), r"case when text is null then 'capitolo ' || doc_id else coalesce(trim(regexp_replace(list_extract(list_filter(string_split(text, chr(10))[1:12], lambda l: regexp_matches(l, '^#{1,3}\s+\S')), 1), '^#{1,3}\s+', '')), 'capitolo ' || doc_id) end"),
+    "x21_image_links": ("pag_n_res", ("blocco_id",), lambda: F.md5(T.image_links(F.col("block_content"), "/img/")), r"md5(regexp_replace(block_content, '!\[([^\]]*)\]\(([^)]+)\)', '![\1](/img/\2)', 'g'))"),
+    "x23_snippet": ("documents", ("doc_id",), lambda: T.snippet(T.plain_text(F.col("text")), ["regola", "tempo"]), r"with_snippet(text)"),
+    "x24_dice_repair": ("pag_n_res", ("blocco_id",), lambda: F.md5(T.repair_dice(F.col("block_content"))), ""),
+    "x25_doubled_letters": ("pag_n_res", ("blocco_id",), lambda: F.md5(F.replace(F.col("block_content"), F.lit("JJ"), F.lit("ll"))), "md5(replace(block_content, 'JJ', 'll'))"),
+    "x26_dotted_contents": ("documents", ("doc_id",), lambda: T.dotted_contents(F.col("text")), r"regexp_matches(text, '\.{4,}\s*\d+\s*$') or len(regexp_extract_all(text, '(?:\.\s?){4,}')) >= 2"),
+    "x27_functional_end": ("pag_n_res", ("blocco_id",), lambda: T.functional_end(F.col("block_content")), r"regexp_matches(lower(block_content), '(?:^|\s)(?:di|a|da|in|con|su|per|tra|fra|il|lo|la|i|gli|le|un|una|del|della|dei|delle|al|alla|e|o)\s*$')"),
+    "x28_only_numbers": ("pag_n_res", ("blocco_id",), lambda: T.only_numbers(F.col("block_content")), r"regexp_matches(block_content, '^[\d\s.,;:/+\-–—()]+$')"),
+    "x28_dice_header": ("pag_n_res", ("blocco_id",), lambda: T.dice_header(F.col("block_content")), r"regexp_matches(lower(block_content), '^\s*\d*d(?:4|6|8|10|12|20|100)\b')"),
+    "x30_suspect_title": ("pag_n_res", ("blocco_id",), lambda: (F.col("block_content") != F.upper(F.col("block_content"))) & ~T.rooms_code(F.col("block_content")), r"block_content <> upper(block_content) and not regexp_matches(block_content, '^[A-Z]?\d{1,3}[a-z]?[.:]\s')"),
+    "x31_capital": ("entita", ("id",), lambda: T.capital(F.trim(F.col("nome"))), "upper(substring(trim(nome), 1, 1)) || lower(substring(trim(nome), 2))"),
     "x32_list": ("aree", ("area",), lambda: T.list_of(F.col("descrizione")), "list_filter(list_transform(string_split(descrizione, ','), lambda x: upper(substring(trim(x), 1, 1)) || lower(substring(trim(x), 2))), lambda x: x <> '')"),
-    "x33_ocr_maths": ("pag_n_res", ("blocco_id",), lambda: F.md5(T.ocr_maths(_B)), r"md5(replace(replace(regexp_replace(block_content, '\$\s*(\d+)\s*\^\{?\\circ\}?\s*\$', '\1°', 'g'), chr(173), ''), chr(160), ' '))"),
-    "x34_rejoin": ("pag_n_res", ("blocco_id",), lambda: F.md5(T.rejoin(_B)), r"md5(regexp_replace(block_content, '([^.!?:;\n])\n(\p{Ll})', '\1 \2', 'g'))"),
+    "x33_ocr_maths": ("pag_n_res", ("blocco_id",), lambda: F.md5(T.ocr_maths(F.col("block_content"))), r"md5(replace(replace(regexp_replace(block_content, '\$\s*(\d+)\s*\^\{?\\circ\}?\s*\$', '\1°', 'g'), chr(173), ''), chr(160), ' '))"),
+    "x34_rejoin": ("pag_n_res", ("blocco_id",), lambda: F.md5(T.rejoin(F.col("block_content"))), r"md5(regexp_replace(block_content, '([^.!?:;\n])\n(\p{Ll})', '\1 \2', 'g'))"),
     "x36_salvaged_names": ("entita", ("id",), lambda: F.size(T.salvaged_names(F.col("dati"))).cast("bigint"), r"""len(regexp_extract_all(dati, '"nome"\s*:\s*"([^"]*)"', 1))"""),
-    "x38_dialogue": ("documents", ("doc_id",), lambda: T.dialogue(_D), r"2 * len(list_filter(list_filter(string_split(text, chr(10)), lambda l: trim(l) <> ''), lambda l: regexp_matches(l, '^\p{Lu}[\p{L}'' ]{0,30}:'))) >= len(list_filter(string_split(text, chr(10)), lambda l: trim(l) <> '')) and len(list_filter(string_split(text, chr(10)), lambda l: trim(l) <> '')) > 0"),
-    "x39_html_lines": ("pag_n_res", ("blocco_id",), lambda: F.size(T.html_lines(_B)).cast("bigint"), r"len(list_filter(string_split(regexp_replace(block_content, '<[^>]*>', chr(10), 'g'), chr(10)), lambda x: trim(x) <> ''))"),
-    "x40_table_width": ("pag_n_res", ("blocco_id",), lambda: F.when(F.regexp_count(F.lower(F.regexp_extract(_B, r"(?is)<tr[^>]*>(.*?)</tr>", 1)), F.lit("<t[dh]")) >= 8, "wide").otherwise("normal"), "case when len(regexp_extract_all(lower(regexp_extract(block_content, '(?is)<tr[^>]*>(.*?)</tr>', 1)), '<t[dh]')) >= 8 then 'wide' else 'normal' end"),
+    "x38_dialogue": ("documents", ("doc_id",), lambda: T.dialogue(F.col("text")), r"2 * len(list_filter(list_filter(string_split(text, chr(10)), lambda l: trim(l) <> ''), lambda l: regexp_matches(l, '^\p{Lu}[\p{L}'' ]{0,30}:'))) >= len(list_filter(string_split(text, chr(10)), lambda l: trim(l) <> '')) and len(list_filter(string_split(text, chr(10)), lambda l: trim(l) <> '')) > 0"),
+    "x39_html_lines": ("pag_n_res", ("blocco_id",), lambda: F.size(T.html_lines(F.col("block_content"))).cast("bigint"), r"len(list_filter(string_split(regexp_replace(block_content, '<[^>]*>', chr(10), 'g'), chr(10)), lambda x: trim(x) <> ''))"),
+    "x40_table_width": ("pag_n_res", ("blocco_id",), lambda: F.when(F.regexp_count(F.lower(F.regexp_extract(F.col("block_content"), r"(?is)<tr[^>]*>(.*?)</tr>", 1)), F.lit("<t[dh]")) >= 8, "wide").otherwise("normal"), "case when len(regexp_extract_all(lower(regexp_extract(block_content, '(?is)<tr[^>]*>(.*?)</tr>', 1)), '<t[dh]')) >= 8 then 'wide' else 'normal' end"),
     "x41_mime": ("entita", ("id",), lambda: T.mime(F.col("file")), "case when file is null then 'application/octet-stream' when lower(file) like '%.md' then 'text/markdown' when lower(file) like '%.json' then 'application/json' else 'application/octet-stream' end"),
-    "x42_safe_name": ("libri", ("id", "creato_il"), lambda: T.safe_name(_T), r"regexp_matches(titolo, '^[\p{L}\p{N}][\p{L}\p{N} ._''()\-]*$') and not contains(titolo, '..')"),
+    "x42_safe_name": ("libri", ("id", "creato_il"), lambda: T.safe_name(F.col("titolo")), r"regexp_matches(titolo, '^[\p{L}\p{N}][\p{L}\p{N} ._''()\-]*$') and not contains(titolo, '..')"),
     "x43_hashes": ("libri", ("id", "creato_il"), lambda: F.concat(F.substring(F.md5("titolo"), 1, 8), F.lit("-"), F.substring(F.sha2("titolo", 256), 1, 16)), "substring(md5(titolo), 1, 8) || '-' || substring(sha256(titolo), 1, 16)"),
     "x50_recent": ("events", ("event_id",), lambda: F.col("ts") >= F.to_timestamp_ntz(F.lit("2024-01-20 00:00:00")), "ts >= timestamp '2024-01-20 00:00:00'"),
     "x51_local_time": ("libri", ("id", "creato_il"), lambda: F.date_format(F.from_utc_timestamp("creato_il", "Europe/Rome"), "dd/MM HH:mm"), "strftime(timezone('Europe/Rome', creato_il::timestamptz), '%d/%m %H:%M')"),
     "x52_age_minutes": ("events", ("event_id",), lambda: F.round((F.unix_timestamp(F.lit("2024-02-01 00:00:00").cast("timestamp")) - F.unix_timestamp(F.col("ts").cast("timestamp"))) / 60, 1), "round((1706745600 - floor(epoch(ts))) / 60, 1)"),
     "x53_expired": ("orders", ("o_orderkey",), lambda: F.date_add(F.col("o_orderdate").cast("date"), 90) <= F.lit("1998-01-01").cast("date"), "o_orderdate::date + 90 <= date '1998-01-01'"),
-    "x60_centre": ("pag_n_res", ("blocco_id",), lambda: F.round(G.centre(_BOX)[0], 3), "round((block_bbox[1] + block_bbox[3]) / 2, 3)"),
-    "x61_covered": ("pag_n_res", ("blocco_id",), lambda: F.round(G.covered(_BOX, (F.lit(0.0), F.lit(0.0), F.col("width"), F.col("height") / 2)), 6), "case when block_bbox is null or len(block_bbox) < 4 then 0.0 when greatest(block_bbox[3]-block_bbox[1],0.0)*greatest(block_bbox[4]-block_bbox[2],0.0) > 0 then round(greatest(least(block_bbox[3],width)-greatest(block_bbox[1],0.0),0.0)*greatest(least(block_bbox[4],height/2)-greatest(block_bbox[2],0.0),0.0)/(greatest(block_bbox[3]-block_bbox[1],0.0)*greatest(block_bbox[4]-block_bbox[2],0.0)),6) else 0.0 end"),
+    "x60_centre": ("pag_n_res", ("blocco_id",), lambda: F.round(G.centre(G.box(F.col("block_bbox")))[0], 3), "round((block_bbox[1] + block_bbox[3]) / 2, 3)"),
+    "x61_covered": ("pag_n_res", ("blocco_id",), lambda: F.round(G.covered(G.box(F.col("block_bbox")), (F.lit(0.0), F.lit(0.0), F.col("width"), F.col("height") / 2)), 6), "case when block_bbox is null or len(block_bbox) < 4 then 0.0 when greatest(block_bbox[3]-block_bbox[1],0.0)*greatest(block_bbox[4]-block_bbox[2],0.0) > 0 then round(greatest(least(block_bbox[3],width)-greatest(block_bbox[1],0.0),0.0)*greatest(least(block_bbox[4],height/2)-greatest(block_bbox[2],0.0),0.0)/(greatest(block_bbox[3]-block_bbox[1],0.0)*greatest(block_bbox[4]-block_bbox[2],0.0)),6) else 0.0 end"),
     "x62_colour_distance": ("part", ("p_partkey",), lambda: F.round(G.rgb_distance(F.col("p_partkey").cast("int") * 4099, F.lit(8421504)), 4), "round(sqrt((((p_partkey*4099)>>16 & 255)-128)**2 + (((p_partkey*4099)>>8 & 255)-128)**2 + ((p_partkey*4099 & 255)-128)**2), 4)"),
-    "x63_third": ("pag_n_res", ("blocco_id",), lambda: G.third(_BOX, F.col("width")), "case when (block_bbox[1]+block_bbox[3])/2 < width/3 then 'left' when (block_bbox[1]+block_bbox[3])/2 > width*2/3 then 'right' else 'centre' end"),
-    "x64_level_by_height": ("pag_n_res", ("blocco_id",), lambda: F.when((F.col("block_label") == "doc_title") | (G.per_mille(_BOX, F.col("height")) >= 35), 1).otherwise(2), "case when block_label = 'doc_title' or (block_bbox[4]-block_bbox[2])*1000/height >= 35 then 1 else 2 end"),
-    "x65_rescaled": ("pag_n_res", ("blocco_id",), lambda: F.round(G.rescaled(_BOX, 1000 / F.col("width"), 1000 / F.col("height"))[3], 3), "round(block_bbox[4] * (1000 / height), 3)"),
+    "x63_third": ("pag_n_res", ("blocco_id",), lambda: G.third(G.box(F.col("block_bbox")), F.col("width")), "case when (block_bbox[1]+block_bbox[3])/2 < width/3 then 'left' when (block_bbox[1]+block_bbox[3])/2 > width*2/3 then 'right' else 'centre' end"),
+    "x64_level_by_height": ("pag_n_res", ("blocco_id",), lambda: F.when((F.col("block_label") == "doc_title") | (G.per_mille(G.box(F.col("block_bbox")), F.col("height")) >= 35), 1).otherwise(2), "case when block_label = 'doc_title' or (block_bbox[4]-block_bbox[2])*1000/height >= 35 then 1 else 2 end"),
+    "x65_rescaled": ("pag_n_res", ("blocco_id",), lambda: F.round(G.rescaled(G.box(F.col("block_bbox")), 1000 / F.col("width"), 1000 / F.col("height"))[3], 3), "round(block_bbox[4] * (1000 / height), 3)"),
     "x66_network": ("customer", ("c_custkey",), lambda: G.in_network(F.concat(F.lit("10.0."), (F.col("c_custkey") % 256).cast("string"), F.lit(".7")), "10.0.64.0/18"), "c_custkey % 256 between 64 and 127"),
     "x67_position": ("pag_n_res", ("blocco_id",), lambda: F.least(F.round(F.col("block_bbox")[1] / F.col("height") * 40), F.lit(40.0)).cast("bigint"), "least(round(block_bbox[2] / height * 40), 40.0)::bigint"),
     "x68_percent": ("supplier", ("s_suppkey",), lambda: F.round(100 * F.col("s_acctbal") / F.greatest(F.abs("s_acctbal"), F.lit(1.0)), 2), "round(100 * s_acctbal / greatest(abs(s_acctbal), 1.0), 2)"),
     "x72_json_default": ("events", ("event_id",), lambda: F.coalesce(F.get_json_object("props", "$.k"), F.lit("-")), "coalesce(props ->> '$.k', '-')"),
-    "x74_first_n": ("documents", ("doc_id",), lambda: F.array_join(F.slice(F.split(_D, " "), 1, 5), " "), "array_to_string(string_split(text, ' ')[1:5], ' ')"),
+    "x74_first_n": ("documents", ("doc_id",), lambda: F.array_join(F.slice(F.split(F.col("text"), " "), 1, 5), " "), "array_to_string(string_split(text, ' ')[1:5], ' ')"),
     "x75_padded_rows": ("pag_n_res", ("blocco_id",), lambda: F.size(F.concat(F.col("block_bbox"), F.array_repeat(F.lit(0.0), F.greatest(F.lit(0), 6 - F.size("block_bbox"))))).cast("bigint"), "case when block_bbox is null then null else greatest(len(block_bbox), 6) end"),
     "x77_any_all": ("pag_n_res", ("blocco_id",), lambda: F.exists("block_bbox", lambda v: v > 1500) & F.forall("block_bbox", lambda v: v >= 0), "len(list_filter(block_bbox, lambda v: v > 1500)) > 0 and len(list_filter(block_bbox, lambda v: v >= 0)) = len(block_bbox)"),
-    "x78_longest_fragment": ("entita", ("id",), lambda: F.array_max(F.transform(F.split(_N, "[^\\p{L}]+"), lambda x: F.length(x))).cast("bigint"), r"list_max(list_transform(regexp_split_to_array(nome, '[^\p{L}]+'), lambda x: length(x)))"),
-    "pr08_chapter_pool": ("documents", ("doc_id",), lambda: F.octet_length(_D) > 700, "strlen(text) > 700"),
-    "pr09_index_chapter": ("documents", ("doc_id",), lambda: F.lower(_D).rlike(r"^\s*(?:indice|table of contents|table des mati)"), r"regexp_matches(lower(text), '^\s*(?:indice|table of contents|table des mati)')"),
-    "pr14_letter_share": ("pag_n_res", ("blocco_id",), lambda: F.round(T.letter_share(_B), 4), r"round(length(regexp_replace(block_content, '[^\p{L}]', '', 'g')) / greatest(length(block_content), 1), 4)"),
-    "pr24_garbage": ("pag_n_res", ("blocco_id",), lambda: (T.letter_share(_B) < 0.4) & (F.length(_B) > 0), r"length(regexp_replace(block_content, '[^\p{L}]', '', 'g')) / greatest(length(block_content), 1) < 0.4 and length(block_content) > 0"),
+    "x78_longest_fragment": ("entita", ("id",), lambda: F.array_max(F.transform(F.split(F.col("nome"), "[^\\p{L}]+"), lambda x: F.length(x))).cast("bigint"), r"list_max(list_transform(regexp_split_to_array(nome, '[^\p{L}]+'), lambda x: length(x)))"),
+    "pr08_chapter_pool": ("documents", ("doc_id",), lambda: F.octet_length(F.col("text")) > 700, "strlen(text) > 700"),
+    "pr09_index_chapter": ("documents", ("doc_id",), lambda: F.lower(F.col("text")).rlike(r"^\s*(?:indice|table of contents|table des mati)"), r"regexp_matches(lower(text), '^\s*(?:indice|table of contents|table des mati)')"),
+    "pr14_letter_share": ("pag_n_res", ("blocco_id",), lambda: F.round(T.letter_share(F.col("block_content")), 4), r"round(length(regexp_replace(block_content, '[^\p{L}]', '', 'g')) / greatest(length(block_content), 1), 4)"),
+    "pr24_garbage": ("pag_n_res", ("blocco_id",), lambda: (T.letter_share(F.col("block_content")) < 0.4) & (F.length(F.col("block_content")) > 0), r"length(regexp_replace(block_content, '[^\p{L}]', '', 'g')) / greatest(length(block_content), 1) < 0.4 and length(block_content) > 0"),
     "m26_sheet_place": ("part", ("p_partkey",), lambda: (F.floor(F.col("p_partkey") / 9) * 9 + F.floor(F.col("p_partkey") % 9 / 3) * 3 + (2 - F.col("p_partkey") % 3)).cast("bigint"), "(p_partkey // 9) * 9 + ((p_partkey % 9) // 3) * 3 + (2 - p_partkey % 3)"),
     "pr17_banner": ("pag_n_res", ("blocco_id",), lambda: F.coalesce((F.col("block_bbox")[3] - F.col("block_bbox")[1] < 0.05 * F.col("height")) & (F.col("block_bbox")[2] - F.col("block_bbox")[0] > 0.7 * F.col("width")), F.lit(False)), "coalesce(block_bbox[4]-block_bbox[2] < 0.05*height and block_bbox[3]-block_bbox[1] > 0.7*width, false)"),
     "pr33_visible": ("libri", ("id", "creato_il"), lambda: F.col("pubblico") | F.col("slug").isin("a", "b"), "pubblico or slug in ('a', 'b')"),
-    "k08_content_hash": ("documents", ("doc_id",), lambda: F.sha2(_D, 256), "sha256(text)"),
+    "k08_content_hash": ("documents", ("doc_id",), lambda: F.sha2(F.col("text"), 256), "sha256(text)"),
 }
 # no SQL: word ends of Unicode, or steps of arrays, that DuckDB's expressions lack; tested on fixtures
 NO_SQL = {"x24_dice_repair", "x23_snippet"}
