@@ -82,7 +82,7 @@ def similarity(a: Column, b: Column) -> Column:
 def title_variants(c: Column) -> Column:
     """A title, and both parts of one written "A - B"."""
     at = F.instr(c, " - ")
-    return F.when(at > 0, F.array(ascii_words(c), ascii_words(F.substring(c, F.lit(1), at - 1)), ascii_words(F.substring(c, at + 3, F.length(c))))).otherwise(F.array(ascii_words(c)))
+    return F.when(at > 0, F.array(ascii_words(c), ascii_words(F.substring(c, F.lit(1), at - 1)), ascii_words(F.substring(c, at + 3, F.length(c))))).when(c.isNotNull(), F.array(ascii_words(c)))
 
 
 def last_year(c: Column) -> Column:
@@ -186,7 +186,7 @@ def page_breaks(c: Column) -> Column:
 
 def unfenced(c: Column) -> Column:
     """A model's answer without its code fence."""
-    return F.trim(F.regexp_replace(c, r"(?m)^\s*```(?:json)?\s*$", ""))
+    return F.btrim(F.regexp_replace(c, r"(?m)^\s*```(?:json)?\s*$", ""), F.lit(" \t\r\n"))
 
 
 def salvaged_names(c: Column) -> Column:
