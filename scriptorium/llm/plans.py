@@ -24,6 +24,11 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.noise(table(spark, sf_dir, "pag_n_res"))
 
 
+def p3_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The paragraphs of all pages without the noise of scans, named by the block where they begin."""
+    return scans.clean(table(spark, sf_dir, "pag_n_res"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of each document by byte_bpe_50k, without special tokens."""
     return encoding.encoded(table(spark, sf_dir, "documents"))
@@ -58,7 +63,7 @@ def p10_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p10_found(spark, sf_dir).groupBy("area").agg(F.count(F.lit(1)).alias("documenti"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p3_found, p8_ids, p9_mix, p9_shares, p10_found, p10_composition)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p3_found, p3_clean, p8_ids, p9_mix, p9_shares, p10_found, p10_composition)}
 
 # no equivalent in SQL: the operators are tested against the tokenizer, brute force and held-out labels
 SQL: dict[str, str] = {}
