@@ -42,6 +42,19 @@ def joined_pages(pages: DataFrame, book: str, order: list[str], text: str, betwe
     return kept.groupBy(book).agg(F.array_join(F.transform(rows, lambda r: r["_t"]), between).alias("testo"))
 
 
+def book_parts(blocks: DataFrame, book: str, page: str, order: list[str], text: str, pages: int = 50, inside: str = "\n\n", between: str = "\n\n---\n\n") -> DataFrame:
+    """(book, parte, da, a, testo): all pages of each book in order, as ordered parts of so many page numbers.
+
+    Blocks are joined to pages, pages to parts; a book's parts in order, with `between` between them, are its whole
+    text. No row or group holds more than the pages of one part, however long the book is. Null texts are left out,
+    repeated rows count once: they meet in their page, so no exchange of their own is needed.
+    """
+    rows = F.array_sort(F.collect_set(F.struct(*order, F.col(text).alias("_t"))))
+    whole = blocks.where(F.col(text).isNotNull()).groupBy(book, page).agg(F.array_join(F.transform(rows, lambda r: r["_t"]), inside).alias("_t"))
+    parts = F.array_sort(F.collect_list(F.struct(page, "_t")))
+    return whole.groupBy(book, F.floor(F.col(page) / pages).alias("parte")).agg(F.min(page).alias("da"), F.max(page).alias("a"), F.array_join(F.transform(parts, lambda r: r["_t"]), between).alias("testo"))
+
+
 def missing_pages(pages: DataFrame, book: str, page: str) -> DataFrame:
     """(book, page): numbers between 1 and a book's last page that have no row."""
     last = pages.where(F.col(page).isNotNull()).groupBy(book).agg(F.max(page).alias("_m"))

@@ -569,6 +569,12 @@ def k03_whole_book(spark, d):
     return lines.joined_pages(blocks(spark, d).where("pag <= 3"), "libro_id", ["idx", "blocco_id"], "block_content").select("libro_id", F.md5("testo").alias("testo"))
 
 
+@query(f"WITH p AS (SELECT libro_id, pag, string_agg(block_content, chr(10) || chr(10) ORDER BY idx, blocco_id) AS t FROM {B} WHERE block_content IS NOT NULL GROUP BY libro_id, pag) SELECT libro_id, pag // 50 AS parte, min(pag) AS da, max(pag) AS a, string_agg(t, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY pag) AS testo FROM p GROUP BY libro_id, pag // 50")
+def k03_all_pages(spark, d):
+    """The whole of each book: all its pages in order; k03_whole_book has blocks of the first three pages only."""
+    return lines.book_parts(table(spark, d, "pag_n_res"), "libro_id", "pag", ["idx", "blocco_id"], "block_content")
+
+
 @query("SELECT d.doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM etichette_doc e WHERE e.doc_id = d.doc_id)")
 def k05_resume(spark, d):
     return store.resumed(table(spark, d, "documents"), table(spark, d, "etichette_doc"), "doc_id").select("doc_id")
