@@ -33,3 +33,14 @@ def scored(docs: DataFrame, query: str, text: str = "text") -> DataFrame:
 def ranked(docs: DataFrame, query: str, most: int = 80, text: str = "text", order: tuple[str, ...] = ("source", "doc_id")) -> DataFrame:
     """The best hits of a query: a distributed top-k."""
     return scored(docs, query, text).orderBy(F.desc("punti"), *order).limit(most)
+
+
+def postings(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, termine, key, n, posizioni): an inverted index over all terms, one row per term and document.
+
+    Terms are runs of letters and digits of any length, positions count the terms of the text from 1. No row or group
+    is larger than one document, so frequent terms need no salt.
+    """
+    terms = docs.where(F.col(text).isNotNull()).select(key, F.lower(lang).alias("lang"), F.posexplode(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{M}\p{N}]+"), F.lit(0))).alias("_p", "termine"))
+    places = terms.groupBy("lang", "termine", key).agg(F.sort_array(F.collect_list((F.col("_p") + 1).cast("bigint"))).alias("posizioni"))
+    return places.select("lang", "termine", key, F.size("posizioni").cast("bigint").alias("n"), "posizioni")

@@ -612,6 +612,12 @@ def x79_inverted_index(spark, d):
     return terms.groupBy("lang", "termine").agg(F.count(F.lit(1)).alias("documenti")).where("documenti >= 20")
 
 
+@query(r"WITH a AS (SELECT doc_id, lower(lang) AS lang, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+') AS l FROM documents WHERE text IS NOT NULL), t AS (SELECT doc_id, lang, unnest(l) AS termine, generate_subscripts(l, 1) AS p FROM a) SELECT lang, termine, doc_id, count(*) AS n, list(p ORDER BY p) AS posizioni FROM t GROUP BY lang, termine, doc_id")
+def x79_postings(spark, d):
+    """The inverted index itself, over all terms; x79_inverted_index counts documents of frequent terms only."""
+    return search.postings(table(spark, d, "documents"))
+
+
 @query("WITH a AS (SELECT doc_id, string_split(text, chr(10)) AS r FROM documents WHERE text IS NOT NULL) SELECT doc_id, CASE WHEN r[1] = '' OR len(r) < 2 OR r[2] = '' THEN 0.0 WHEN r[2] = r[1] THEN 1.0 WHEN starts_with(r[2], r[1]) THEN 0.95 WHEN instr(r[2], r[1]) BETWEEN 1 AND 61 THEN 0.85 WHEN replace(r[1], ' ', '') <> '' AND starts_with(replace(r[2], ' ', ''), replace(r[1], ' ', '')) THEN 0.9 WHEN length(r[1]) >= 12 AND abs(length(r[1]) - length(r[2])) <= 3 AND levenshtein(r[1], r[2]) <= greatest(1, floor(length(r[1]) * 0.08)) THEN 0.88 ELSE 0.0 END::double AS punti FROM a")
 def x10_similarity(spark, d):
     r = F.split("text", "\n")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scriptorium.operators import lines
+from scriptorium.operators import lines, search
 from scriptorium.plans import relational
 from scriptorium.session import table
 
@@ -20,3 +20,13 @@ def test_every_page_of_the_table_is_in_a_book(spark, sf):
     pages = table(spark, sf, "pag_n_res").where("block_content is not null").groupBy("libro_id").agg(F.max("pag").alias("m"))
     got = relational.QUERIES["k03_all_pages"](spark, sf).groupBy("libro_id").agg(F.max("a").alias("m"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, pages.collect()))
+
+
+def test_rare_and_short_terms_have_postings(spark):
+    docs = spark.createDataFrame([(1, "Il re e il drago", "IT"), (2, "être, 2d6", None), (3, None, "it"), (4, "", "it")], "doc_id long, text string, lang string")
+    got = {(r.lang, r.termine, r.doc_id): (r.n, r.posizioni) for r in search.postings(docs).collect()}
+    assert got == {("it", "il", 1): (2, [1, 4]), ("it", "re", 1): (1, [2]), ("it", "e", 1): (1, [3]), ("it", "drago", 1): (1, [5]), (None, "être", 2): (1, [1]), (None, "2d6", 2): (1, [2])}
+
+
+def test_the_index_is_a_query():
+    assert "x79_postings" in relational.QUERIES
