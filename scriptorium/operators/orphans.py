@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.operators.scans import dense_codes
+from scriptorium.session import written
 
 _RANGE = 32768  # bits of one bitmap, as Spark's bitmap functions have it
 _SPARSE = 1024  # up to so many bits a range is held as sorted positions, else as bits
+#: Distinct suspect keys per table and period that are sent to all tasks at once (below 20 MB).
+SUSPECTS_AT_ONCE = 200_000
 _ALWAYS, _NEVER = "0000-00", "9999-99"
 
 
@@ -59,9 +62,9 @@ def orphans(refs: DataFrame, parents: DataFrame, removed: DataFrame) -> DataFram
     keys are no references; a null `quando` is never late; a parent born at null time was always there. Rows may repeat.
     """
     refs = refs.where(F.col("chiave").isNotNull()).withColumn("periodo", F.coalesce(F.date_format("quando", "yyyy-MM"), F.lit(_NEVER)))
-    used = refs.groupBy("tabella", "periodo", "chiave").agg(F.count(F.lit(1)).alias("_n")).drop("_n")
-    first = parents.where(F.col("chiave").isNotNull()).groupBy("chiave").agg(F.when(F.count("nato") == F.count(F.lit(1)), F.min("nato")).alias("nato"))
-    codes = dense_codes(used.select("chiave").unionByName(first.select("chiave")), "chiave")
+    used = written(refs.groupBy("tabella", "periodo", "chiave").agg(F.count(F.lit(1)).alias("_n")).drop("_n"), "usate")
+    first = written(parents.where(F.col("chiave").isNotNull()).groupBy("chiave").agg(F.when(F.count("nato") == F.count(F.lit(1)), F.min("nato")).alias("nato")), "libri")
+    codes = written(dense_codes(used.select("chiave").unionByName(first.select("chiave")), "chiave"), "codici")
     page, bit = F.bitmap_bucket_number("codice"), F.bitmap_bit_position("codice")
     ref_bits = used.join(codes, "chiave").groupBy("tabella", "periodo", page.alias("intervallo")).agg(F.bitmap_construct_agg(bit).alias("bit"))
     birth = F.coalesce(F.date_format("nato", "yyyy-MM"), F.lit(_ALWAYS))
@@ -76,6 +79,8 @@ def orphans(refs: DataFrame, parents: DataFrame, removed: DataFrame) -> DataFram
         .join(first.select("chiave", F.lit(True).alias("_c")), "chiave", "left")
         .select("tabella", "periodo", "chiave", "nato", F.when(F.col("_c").isNotNull(), "tardivo").when(F.col("_tolto").isNotNull(), "tolto").otherwise("mancante").alias("motivo"))
     )
-    found = refs.join(suspects, ["tabella", "periodo", "chiave"])
+    # keys and periods, not references: few go to all tasks, many are joined with AQE splitting hot keys
+    suspects = written(suspects, "sospette")
+    found = refs.join(F.broadcast(suspects) if suspects.count() <= SUSPECTS_AT_ONCE else suspects, ["tabella", "periodo", "chiave"])
     late = (F.col("motivo") != "tardivo") | (F.col("nato") > F.col("quando"))
     return found.where(late).select("tabella", "id", "chiave", F.when(F.col("periodo") != _NEVER, F.col("periodo")).alias("periodo"), "motivo")

@@ -11,18 +11,16 @@ from scriptorium.session import table
 
 # fixed values: attributes that hold several values
 MULTI = ("classi", "componenti", "linguaggi", "competenze", "proprieta", "tag", "tratti_razziali_tag", "equipaggiamento_iniziale", "resistenza_vulnerabilita_immunita")
-# fixed values: further attributes, kept as text in the wide table
-TEXTS = ("descrizione", "tempo_di_lancio", "gittata", "durata", "categoria", "allineamento", "tipologia_creatura", "variante_di", "caratteristica_primaria", "talento", "tratto_caratteristico")
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Titles with a decision in force after the whole log."""
-    return changefeed.apply_log(table(spark, sf_dir, "decisioni")).select(F.col("libro_id").cast("int").alias("libro_id"), F.col("id").cast("int").alias("id"), "classe")
+    """Titles with a decision in force after the whole log, applied as a base and a later batch."""
+    return changefeed.replay(table(spark, sf_dir, "decisioni"), "arrivo").select(F.col("libro_id").cast("int").alias("libro_id"), F.col("id").cast("int").alias("id"), "classe")
 
 
 def p4_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per entity with a typed column per attribute."""
-    return eav.wide(table(spark, sf_dir, "entita"), texts=TEXTS + MULTI)
+    return eav.wide(table(spark, sf_dir, "entita"))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -252,3 +252,46 @@ def test_orphans_over_many_ranges(spark):
     gone = spark.createDataFrame([(7,), (7,), (6,)], "chiave long")
     got = {(r.id, r.motivo) for r in orphans.orphans(refs.unionByName(odd), parents, gone).collect()}
     assert got == {(i, "mancante") for i in range(1007, 120_000, 1000)} | {(7, "tolto"), (6, "tardivo"), (-3, "tolto")}
+
+
+def test_spans_of_any_length_and_depth(spark):
+    long, deep = "x" * 100_000, "(" * 20 + "a, b" + ")" * 20
+    data = [f'"{long}, y", z', f"({long}; y), z", f"{deep} q, z", '"' + '""' * 50_000 + '", z', "(" * 5000 + ", z", '"a, b', "(a, (b, c)", "a) , (b, c) 0, d", ", 5"]
+    want = [[f"{long}, y", "z"], [f"({long}; y)", "z"], [f"{deep} q", "z"], ['"' * 50_000, "z"], ["(" * 5000, "z"], ['"a', "b"], ["(a", "(b, c)"], ["a)", "(b, c) 0", "d"], ["", "5"]]
+    df = spark.createDataFrame(list(enumerate(data)), "i int, t string")
+    assert [r[1] for r in sorted(df.select("i", multivalue.split_values(F.col("t"))).collect())] == want
+
+
+def test_attributes_nobody_named(spark):
+    df = spark.createDataFrame([(1, "a", '{"Forza": 12, "livello": 2, "id": "q", "peso_netto": 1}'), (2, "a", '{"forza": 9, "forza": 10, "vola": true, "peso netto": 1.5}'), (3, "a", '{"forza": null, "vola": false, "vario": [1], "Vario": "x"}'), (4, "a", "{")], "id long, tipologia string, dati string")
+    got = {r.id: r.asDict() for r in eav.wide(df).collect()}
+    assert [got[i]["forza"] for i in (1, 2, 3, 4)] == [12, 10, None, None]
+    assert [got[i]["vola"] for i in (1, 2, 3, 4)] == [None, True, False, None]
+    assert got[1]["id_"] == "q" and got[2]["peso_netto"] == 1.5 and got[3]["vario"] == "x" and got[1]["livello"] == 2
+
+
+def test_rare_attributes_stay_in_a_map(spark, monkeypatch):
+    monkeypatch.setattr(eav, "MOST_COLUMNS", len(A.TYPED) + 1)
+    df = spark.createDataFrame([(1, "a", '{"forza": 12, "x": 3}'), (2, "a", '{"forza": 9}')], "id long, tipologia string, dati string")
+    got = {r.id: (r.forza, r.altri) for r in eav.wide(df).collect()}
+    assert got == {1: (12, {"x": "3"}), 2: (9, {})}
+
+
+def test_a_second_batch_is_merged_into_its_buckets_only(spark):
+    first = [{"libro_id": b, "sessione": 1, "prog": n, "id": n % 5, "classe": "a", "annulla": False, "ts": str(1_700_000_000 + 900 * n)} for b in range(6) for n in range(1, 9)]
+    late = [{"libro_id": 2, "sessione": 2, "prog": 1, "id": None, "classe": None, "annulla": True, "ts": str(1_700_000_000 + 900 * 4 + 5)}, first[3]]
+    t = changefeed.BucketedTable(spark, fresh_path(spark, "test"), ["libro_id", "slot"], ["libro_id", "sessione", "prog"], ["istante", "prog"], 64)
+    changefeed.apply_log(spark.createDataFrame([tuple(r.values()) for r in first], LOG), t)
+    before = t.manifest()["buckets"]
+    out = rows(changefeed.apply_log(spark.createDataFrame([tuple(r.values()) for r in late], LOG), t))
+    after = t.manifest()["buckets"]
+    assert 1 <= sum(before.get(b) != after[b] for b in after) <= 2
+    assert out == _fold(first + late)
+
+
+def test_one_writer_takes_a_version(spark):
+    t = changefeed.BucketedTable(spark, fresh_path(spark, "test"), ["k"], ["k"], ["k"], 4)
+    t._commit({"version": 1, "buckets": {}})
+    with pytest.raises(RuntimeError):
+        t._commit({"version": 1, "buckets": {"0": "x"}})
+    assert t.manifest() == {"version": 1, "buckets": {}}
