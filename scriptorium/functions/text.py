@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,8 +13,6 @@ ACCENTED = "àáâãäåèéêëìíîïòóôõöùúûüçñýÿ"
 FOLDED = "aaaaaaeeeeiiiiooooouuuucnyy"
 # fixed values: words a search ignores
 STOP_WORDS = ("di", "il", "la", "lo", "le", "un", "una", "del", "della", "dei", "delle", "degli", "e", "da", "in", "con", "per", "su", "gli", "al", "alla", "che", "nel", "nella")
-# fixed values: confusions of dice in OCR
-DICE_FACES = ("4", "6", "8", "10", "12", "20", "100")
 
 
 def fold(c: Column) -> Column:
@@ -127,12 +128,46 @@ def snippet(plain: Column, terms: list[str]) -> Column:
     return F.substring(plain, F.greatest(F.lit(1), first - 70), F.lit(190))
 
 
+# fixed values: dice with letters read for digits (l and I for 1, o and O for 0): quantities from 1 to 20, faces that exist
+DICE = r"\b(?:[1-9lI]|[0oO][1-9lI]|[1lI][0-9lIoO]|2[0oO])?[dD](?:[0oO]{0,2}[23468]|[0oO]?(?:[1lI][0oO]|[1lI]2|2[0oO])|[1lI][0oO][0oO])\b"
+
+
 def repair_dice(c: Column) -> Column:
-    """dl2 -> d12, 2dlO -> 2d10 where the result is a die; other words stay."""
-    out = c
-    for wrong, right in (("dl0", "d10"), ("dlO", "d10"), ("d1O", "d10"), ("dl2", "d12"), ("d2O", "d20"), ("dl00", "d100"), ("dlOO", "d100"), ("d1OO", "d100")):
-        out = F.regexp_replace(out, rf"\b(\d*){wrong}\b", "$1" + right)
-    return out
+    """dl2 -> d12, 2dlO -> 2d10 where quantity and faces are valid; other words stay."""
+    gaps, dice = F.split(c, DICE, -1), F.regexp_extract_all(c, F.lit(DICE), F.lit(0))
+    return F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.translate(F.get(dice, i), "lIoO", "1100"), F.lit("")))), "")
+
+
+def browser(ua: Column) -> Column:
+    """Browser/system of a user agent."""
+    def first(cases: tuple[tuple[str, str], ...], otherwise: Column) -> Column:
+        out = otherwise
+        for pattern, name in reversed(cases):
+            out = F.when(ua.rlike(pattern), name).otherwise(out)
+        return out
+
+    program = first((("Edg/", "Edge"), ("OPR/|Opera", "Opera"), ("Firefox/", "Firefox"), ("Chrome/", "Chrome"), ("Safari/", "Safari")), F.when(ua == "", "-").otherwise("altro"))
+    system = first((("Windows", "Windows"), ("Android", "Android"), ("iPhone|iPad|iOS", "iOS"), ("Mac OS X|Macintosh", "macOS"), ("Linux", "Linux")), F.lit("-"))
+    return F.concat(program, F.lit("/"), system)
+
+
+def merged(left: Column, right: Column) -> Column:
+    """Two maps as one; the right one wins."""
+    return F.map_concat(F.map_filter(left, lambda k, _: ~F.array_contains(F.map_keys(right), k)), right)
+
+
+def hmac_sha256(key: bytes, message: Column) -> Column:
+    """Keyed hash of a text, as hexadecimal digits."""
+    block = (key if len(key) <= 64 else hashlib.sha256(key).digest()).ljust(64, b"\0")
+    inner = F.sha2(F.concat(F.lit(bytes(b ^ 0x36 for b in block)), message.cast("binary")), 256)
+    return F.sha2(F.concat(F.lit(bytes(b ^ 0x5C for b in block)), F.unhex(inner)), 256)
+
+
+def uuid5(namespace: uuid.UUID, name: Column) -> Column:
+    """Name-based identifier (version 5)."""
+    h = F.sha1(F.concat(F.lit(namespace.bytes), name.cast("binary")))
+    part = lambda a, n: F.substring(h, a, n)
+    return F.concat(part(1, 8), F.lit("-"), part(9, 4), F.lit("-5"), part(14, 3), F.lit("-"), F.translate(part(17, 1), "0123456789abcdef", "89ab" * 4), part(18, 3), F.lit("-"), part(21, 12))
 
 
 def dotted_contents(c: Column) -> Column:
@@ -209,6 +244,13 @@ def letter_share(c: Column) -> Column:
     return F.length(F.regexp_replace(c, r"[^\p{L}]", "")) / F.greatest(F.length(c), F.lit(1))
 
 
+def table_width(c: Column) -> Column:
+    """Width class of a text's first table row: t8, t11 or t14 from so many columns on, cells that span several counted as such."""
+    cells = F.regexp_extract_all(F.lower(F.regexp_extract(c, r"(?is)<tr[^>]*>(.*?)</tr>", 1)), F.lit("<t[dh][^>]*>"), F.lit(0))
+    n = F.aggregate(F.transform(cells, lambda x: F.coalesce(F.regexp_extract(x, "colspan=[^0-9]{0,1}([0-9]+)", 1).try_cast("int"), F.lit(1))), F.lit(0), lambda a, b: a + b)
+    return F.when(n >= 14, "t14").when(n >= 11, "t11").when(n >= 8, "t8").otherwise("")
+
+
 def mime(c: Column) -> Column:
     """Media type of a file name."""
     end = F.lower(F.regexp_extract(c, r"\.([A-Za-z0-9]+)$", 1))

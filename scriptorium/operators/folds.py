@@ -267,22 +267,29 @@ def bands(rows: DataFrame, keys: list[str], y: str, tolerance: float = 4.0) -> D
 
 
 def demoted_repeats(titles: DataFrame, book: str, page: str, order: list[str], title: str, level: str, reach: int = 6) -> DataFrame:
-    """titles with `livello_nuovo`: a title that repeats one of the last `reach` pages goes one level below that one's new level."""
+    """titles with `livello_nuovo`: a title of level 1 or 2 that repeats one of the last `reach` pages goes below it.
+
+    Texts are compared by letters and digits; keys below 4 characters take no part, and pages 1 to 3 are no models. Of
+    the earlier titles the first one that is still of level 1 or 2 is the model; a title already deeper stays. Groups
+    are the titles of a book with one key, so a book's titles spread over tasks.
+    """
     schema = T.StructType([*titles.schema.fields, T.StructField("livello_nuovo", T.IntegerType())])
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([page, *order])
-        seen: dict[str, tuple[int, int]] = {}
-        out = []
-        for t, p, lv in zip(pdf[title], pdf[page], pdf[level]):
-            known = seen.get(t.lower())
-            new = min(6, known[1] + 1) if known and p - known[0] <= reach else int(lv)
-            if not known or p - known[0] > reach:
-                seen[t.lower()] = (p, new)
+        out: list[int] = []
+        pages = pdf[page].tolist()
+        short = len(pdf["_k"].iloc[0] or "") < 4
+        for i, (p, lv) in enumerate(zip(pages, pdf[level])):
+            new = int(lv)
+            if new <= 2 and not short:
+                model = next((out[j] for j in range(i) if pages[j] > 3 and p - pages[j] <= reach and out[j] <= 2), None)
+                if model is not None and new <= model:
+                    new = min(5, model + 1)
             out.append(new)
-        return pdf.assign(livello_nuovo=out)
+        return pdf.drop(columns="_k").assign(livello_nuovo=out)
 
-    return titles.groupBy(book).applyInPandas(fold, schema)
+    return titles.withColumn("_k", F.regexp_replace(F.lower(title), r"[^\p{L}\p{N}]+", "")).groupBy(book, "_k").applyInPandas(fold, schema)
 
 
 def reading_order(blocks: list[tuple[float, float, float, float]], gap_y: float = 6.0, gap_x: float = 8.0) -> list[int]:

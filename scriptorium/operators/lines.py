@@ -35,14 +35,7 @@ def chapters(docs: DataFrame, key: list[str], text: str = "text") -> DataFrame:
     return parts.where(F.trim("testo") != "").select(*key, F.col("_p").cast("bigint").alias("ord"), F.when(F.startswith("testo", F.lit("## ")), F.trim(head)).alias("titolo"), "testo")
 
 
-def joined_pages(pages: DataFrame, book: str, order: list[str], text: str, between: str = "\n\n---\n\n") -> DataFrame:
-    """(book, testo): a book's pages in order as one text; null pages are left out."""
-    kept = pages.where(F.col(text).isNotNull())
-    rows = F.array_sort(F.collect_list(F.struct(*order, F.col(text).alias("_t"))))
-    return kept.groupBy(book).agg(F.array_join(F.transform(rows, lambda r: r["_t"]), between).alias("testo"))
-
-
-def book_parts(blocks: DataFrame, book: str, page: str, order: list[str], text: str, pages: int = 50, inside: str = "\n\n", between: str = "\n\n---\n\n") -> DataFrame:
+def book_parts(blocks: DataFrame, book: str, page: str, order: list[str], text: str, pages: int = 50, inside: str = "\n\n", between: str = "\n\n---\n\n", heading: str | None = None) -> DataFrame:
     """(book, parte, da, a, testo): all pages of each book in order, as ordered parts of so many page numbers.
 
     Blocks are joined to pages, pages to parts; a book's parts in order, with `between` between them, are its whole
@@ -51,6 +44,8 @@ def book_parts(blocks: DataFrame, book: str, page: str, order: list[str], text:
     """
     rows = F.array_sort(F.collect_set(F.struct(*order, F.col(text).alias("_t"))))
     whole = blocks.where(F.col(text).isNotNull()).groupBy(book, page).agg(F.array_join(F.transform(rows, lambda r: r["_t"]), inside).alias("_t"))
+    if heading:  # a pattern of what stands at the head of a page and goes
+        whole = whole.withColumn("_t", F.regexp_replace("_t", heading, ""))
     parts = F.array_sort(F.collect_list(F.struct(page, "_t")))
     return whole.groupBy(book, F.floor(F.col(page) / pages).alias("parte")).agg(F.min(page).alias("da"), F.max(page).alias("a"), F.array_join(F.transform(parts, lambda r: r["_t"]), between).alias("testo"))
 

@@ -61,7 +61,7 @@ def resumed(items: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return items.join(done.select(key).distinct(), key, "left_anti")
 
 
-def sliding_counts(events: DataFrame, key: str, at: str, seconds: int) -> DataFrame:
+def sliding_counts(events: DataFrame, key: str | list[str], at: str, seconds: int) -> DataFrame:
     """events with the number of events of the same key in the last `seconds`, itself included: a RANGE frame on epoch seconds."""
-    run = Window.partitionBy(key).orderBy("_t").rangeBetween(-seconds + 1, 0)
+    run = Window.partitionBy(*([key] if isinstance(key, str) else key)).orderBy("_t").rangeBetween(-seconds + 1, 0)
     return events.withColumn("_t", F.unix_timestamp(F.col(at).cast("timestamp"))).withColumn("recenti", F.count(F.lit(1)).over(run)).drop("_t")

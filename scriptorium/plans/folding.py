@@ -35,8 +35,8 @@ def w10_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def w08_demoted_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = table(spark, sf_dir, "pag_n_res").where("block_label = 'paragraph_title' and block_content is not null").dropDuplicates(["blocco_id"])
-    return folds.demoted_repeats(t.select("libro_id", "pag", "idx", "block_content", F.lit(2).alias("livello")), "libro_id", "pag", ["idx"], "block_content", "livello")
+    t = table(spark, sf_dir, "pag_n_res").where("block_label in ('doc_title', 'paragraph_title') and block_content is not null").dropDuplicates(["blocco_id"])
+    return folds.demoted_repeats(t.select("libro_id", "pag", "idx", "block_content", F.when(F.col("block_label") == "doc_title", 1).otherwise(2).alias("livello")), "libro_id", "pag", ["idx"], "block_content", "livello")
 
 
 QUERIES = {f.__name__: f for f in (l03_unit_packing, l04_extraction_windows, l05_chunks, l07_size_split, w07_accepted_events, w08_demoted_repeats, w10_bands)}

@@ -229,15 +229,13 @@ def j30_ordered_fixes(spark, d):
     return blocks(spark, d).select("blocco_id", F.md5(lines.ordered_rules(F.col("block_content"), rules)).alias("testo"))
 
 
-@query("WITH a AS (SELECT DISTINCT p_name AS uno FROM part), b AS (SELECT DISTINCT p_name AS due FROM part) SELECT 'x' AS k WHERE false")
-def j33_trigram_names(spark, d):
+@query()
+def j20_trigram_names(spark, d):
+    """Pairs of alike names over all names; no SQL: a nested loop there."""
     names = table(spark, d, "entita").select(T.ascii_words(F.col("nome")).alias("uno")).where(F.length("uno") > 2).distinct()
     return matching.trigram_pairs(names, names.withColumnRenamed("uno", "due"), "uno", "due", T.shingles(F.col("uno")), T.shingles(F.col("due")), 0.6).where("uno < due")
 
 
-SQL.pop("j33_trigram_names")
-
-
 # ---- aggregations ----
 @query(f"SELECT tipologia, revisione, count(*) AS n FROM {E} WHERE libro_id IS NOT NULL GROUP BY tipologia, revisione")
 def a01_counts_by_type(spark, d):
@@ -266,15 +264,15 @@ def a06_median_height(spark, d):
     return b.groupBy("libro_id").agg(F.round(F.median(F.col("block_bbox")[3] - F.col("block_bbox")[1]), 4).alias("mediana"))
 
 
-@query(f"SELECT * FROM (SELECT libro_id, CASE WHEN (block_bbox[1]+block_bbox[3])/2 < width/3 THEN 'left' WHEN (block_bbox[1]+block_bbox[3])/2 > width*2/3 THEN 'right' ELSE 'centre' END AS posto, regexp_replace(regexp_replace(lower(trim(block_content)), '\\d+', '#', 'g'), '\\s+', ' ', 'g') AS chiave, count(DISTINCT pag) AS pagine FROM {B} WHERE length(block_content) BETWEEN 1 AND 60 GROUP BY ALL HAVING count(DISTINCT pag) >= 2) WHERE chiave <> ''")
+@query(f"SELECT * FROM (SELECT libro_id, CASE WHEN (block_bbox[1]+block_bbox[3])/2 < width/3 THEN 'left' WHEN (block_bbox[1]+block_bbox[3])/2 > width*2/3 THEN 'right' ELSE 'centre' END AS posto, regexp_replace(regexp_replace(lower(trim(block_content)), '\\d+', '#', 'g'), '\\s+', ' ', 'g') AS chiave, count(DISTINCT pag) AS pagine FROM {B} WHERE block_content <> '' GROUP BY ALL HAVING count(DISTINCT pag) >= 2) WHERE chiave <> ''")
 def a07_repeated_in_margins(spark, d):
-    b = blocks(spark, d).where(F.length("block_content").between(1, 60))
+    b = blocks(spark, d).where("block_content <> ''")
     return lines.repeated_lines(b, "libro_id", "pag", G.third(G.box(F.col("block_bbox")), F.col("width")), T.margin_key(F.col("block_content")))
 
 
-@query(f"SELECT libro_id, lower(block_content) AS testo, count(*) AS volte FROM {B} WHERE block_label = 'paragraph_title' GROUP BY ALL HAVING count(*) >= 5")
+@query(f"SELECT libro_id, lower(block_content) AS testo, count(*) AS volte FROM {B} WHERE block_label IN ('paragraph_title', 'doc_title', 'header') GROUP BY ALL HAVING count(*) >= 20")
 def a08_frequent_titles(spark, d):
-    return blocks(spark, d).where("block_label = 'paragraph_title'").groupBy("libro_id", F.lower("block_content").alias("testo")).agg(F.count(F.lit(1)).alias("volte")).where("volte >= 5")
+    return blocks(spark, d).where("block_label in ('paragraph_title', 'doc_title', 'header')").groupBy("libro_id", F.lower("block_content").alias("testo")).agg(F.count(F.lit(1)).alias("volte")).where("volte >= 20")
 
 
 @query(f"SELECT tipologia, nome_norm, min(id) AS id, min_by(nome, id) AS nome FROM {E} WHERE nome_norm IS NOT NULL GROUP BY tipologia, nome_norm")
@@ -310,12 +308,6 @@ def a16_collected(spark, d):
     return entities(spark, d).groupBy("libro_id").agg(F.array_join(F.sort_array(F.collect_set("tipologia")), "|").alias("tipi"), F.sum(F.length("nome")).cast("bigint").alias("caratteri"))
 
 
-@query(f"SELECT libro_id, len(list_intersect(list(DISTINCT tipologia), ['classe', 'specie', 'background', 'oggetto'])) AS comuni FROM {E} WHERE libro_id IS NOT NULL GROUP BY libro_id HAVING comuni >= 3")
-def a17_set_overlap(spark, d):
-    base = F.array(*[F.lit(x) for x in ("classe", "specie", "background", "oggetto")])
-    return entities(spark, d).where("libro_id is not null").groupBy("libro_id").agg(F.size(F.array_intersect(F.collect_set("tipologia"), base)).cast("bigint").alias("comuni")).where("comuni >= 3")
-
-
 @query("SELECT DISTINCT lower(lang) AS lang, source FROM documents ORDER BY 1, 2")
 def a18_facets(spark, d):
     return table(spark, d, "documents").select(F.lower("lang").alias("lang"), "source").distinct().orderBy("lang", "source")
@@ -392,11 +384,6 @@ def w05_open_state(spark, d):
     return blocks(spark, d).select("blocco_id", F.coalesce(F.last(event, ignorenulls=True).over(run), F.lit(False)).alias("dentro"))
 
 
-@query("SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY floor(epoch(ts))::bigint RANGE BETWEEN 599 PRECEDING AND CURRENT ROW) AS recenti FROM events WHERE event_type = 'error'")
-def w06_sliding_failures(spark, d):
-    return store.sliding_counts(table(spark, d, "events").where("event_type = 'error'"), "user_id", "ts", 600).select("event_id", "recenti")
-
-
 @query(f"SELECT blocco_id, bool_or(block_label = 'table') OVER (PARTITION BY libro_id, pag ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING) AS tabella_presto FROM {B}")
 def w09_look_ahead(spark, d):
     w = Window.partitionBy("libro_id", "pag").orderBy("idx").rowsBetween(1, 3)
@@ -460,11 +447,12 @@ def u01_difference(spark, d):
     return table(spark, d, "documents").select("libro_id").where("libro_id is not null").distinct().join(table(spark, d, "libri").select(F.col("id").alias("libro_id")), "libro_id", "left_anti")
 
 
-@query(f"SELECT id, list_sort(list_distinct(list_filter(string_split(lower(trim(nome)), ' '), lambda w: length(w) > 1 AND NOT list_contains([{', '.join(repr(w) for w in T.STOP_WORDS)}], w)))) AS parole FROM {E} WHERE nome IS NOT NULL")
+@query(f"WITH w AS (SELECT id, list_filter(string_split(lower(trim(nome)), ' '), lambda w: length(w) > 1) AS p FROM {E} WHERE nome IS NOT NULL), k AS (SELECT id, p, list_filter(p, lambda w: NOT list_contains([{', '.join(repr(w) for w in T.STOP_WORDS)}], w)) AS q FROM w) SELECT id, CASE WHEN len(q) > 0 THEN q ELSE p END AS parole FROM k")
 def u03_without_stop_words(spark, d):
     stop = F.array(*[F.lit(w) for w in T.STOP_WORDS])
-    w = F.filter(F.split(F.lower(F.trim("nome")), " "), lambda x: (F.length(x) > 1) & ~F.array_contains(stop, x))
-    return entities(spark, d).where("nome is not null").select("id", F.array_sort(F.array_distinct(w)).alias("parole"))
+    words = F.filter(F.split(F.lower(F.trim("nome")), " "), lambda x: F.length(x) > 1)
+    kept = F.filter(words, lambda x: ~F.array_contains(stop, x))
+    return entities(spark, d).where("nome is not null").select("id", F.when(F.size(kept) > 0, kept).otherwise(words).alias("parole"))
 
 
 @query("SELECT chiave, min_by(tabella, p) AS tabella FROM (SELECT libro_id AS chiave, 'documents' AS tabella, 2 AS p FROM documents UNION ALL SELECT libro_id, 'entita', 1 FROM entita UNION ALL SELECT id, 'libri', 0 FROM libri) WHERE chiave IS NOT NULL GROUP BY chiave")
@@ -564,9 +552,10 @@ def s12_recent_log(spark, d):
     return e.crossJoin(F.broadcast(last)).where(F.col("ts") >= F.col("_m") - F.expr("interval 7 days")).select("event_id", "ts")
 
 
-@query(f"SELECT libro_id, md5(string_agg(block_content, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY idx, blocco_id)) AS testo FROM {B} WHERE pag <= 3 AND block_content IS NOT NULL GROUP BY libro_id")
+@query(f"WITH p AS (SELECT libro_id, pag, regexp_replace(string_agg(block_content, chr(10) || chr(10) ORDER BY idx, blocco_id), '^# [^\\n]* - Pagina [0-9]+\\s*', '') AS t FROM {B} WHERE block_content IS NOT NULL GROUP BY libro_id, pag) SELECT libro_id, pag // 50 AS parte, md5(string_agg(t, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY pag)) AS testo FROM p GROUP BY libro_id, pag // 50")
 def k03_whole_book(spark, d):
-    return lines.joined_pages(blocks(spark, d).where("pag <= 3"), "libro_id", ["idx", "blocco_id"], "block_content").select("libro_id", F.md5("testo").alias("testo"))
+    """The whole of each book without page headings, all pages in order, in ordered parts."""
+    return lines.book_parts(table(spark, d, "pag_n_res"), "libro_id", "pag", ["idx", "blocco_id"], "block_content", heading=r"^# [^\n]* - Pagina [0-9]+\s*").select("libro_id", "parte", F.md5("testo").alias("testo"))
 
 
 @query(f"WITH p AS (SELECT libro_id, pag, string_agg(block_content, chr(10) || chr(10) ORDER BY idx, blocco_id) AS t FROM {B} WHERE block_content IS NOT NULL GROUP BY libro_id, pag) SELECT libro_id, pag // 50 AS parte, min(pag) AS da, max(pag) AS a, string_agg(t, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY pag) AS testo FROM p GROUP BY libro_id, pag // 50")

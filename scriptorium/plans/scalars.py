@@ -36,7 +36,7 @@ SCALARS: dict[str, tuple[str, tuple[str, ...], Callable[[], Column], str]] = {
     "x20_chapter_title": ("documents", ("doc_id",), lambda: T.chapter_title(F.col("text"), F.concat(F.lit("capitolo "), F.col("doc_id"))), r"case when text is null then 'capitolo ' || doc_id else coalesce(trim(regexp_replace(list_extract(list_filter(string_split(text, chr(10))[1:12], lambda l: regexp_matches(l, '^#{1,3}\s+\S')), 1), '^#{1,3}\s+', '')), 'capitolo ' || doc_id) end"),
     "x21_image_links": ("pag_n_res", ("blocco_id",), lambda: F.md5(T.image_links(F.col("block_content"), "/img/")), r"md5(regexp_replace(block_content, '!\[([^\]]*)\]\(([^)]+)\)', '![\1](/img/\2)', 'g'))"),
     "x23_snippet": ("documents", ("doc_id",), lambda: T.snippet(T.plain_text(F.col("text")), ["regola", "tempo"]), r"with_snippet(text)"),
-    "x24_dice_repair": ("pag_n_res", ("blocco_id",), lambda: F.md5(T.repair_dice(F.col("block_content"))), ""),
+    "x24_dice_repair": ("pag_n_res", ("blocco_id",), lambda: F.md5(T.repair_dice(F.col("block_content"))), f"md5(array_to_string(list_transform(range(1, len(regexp_split_to_array(block_content, '{T.DICE}')) + 1), lambda i: regexp_split_to_array(block_content, '{T.DICE}')[i] || coalesce(translate(regexp_extract_all(block_content, '{T.DICE}')[i], 'lIoO', '1100'), '')), ''))"),
     "x25_doubled_letters": ("pag_n_res", ("blocco_id",), lambda: F.md5(F.replace(F.col("block_content"), F.lit("JJ"), F.lit("ll"))), "md5(replace(block_content, 'JJ', 'll'))"),
     "x26_dotted_contents": ("documents", ("doc_id",), lambda: T.dotted_contents(F.col("text")), r"regexp_matches(text, '\.{4,}\s*\d+\s*$') or len(regexp_extract_all(text, '(?:\.\s?){4,}')) >= 2"),
     "x27_functional_end": ("pag_n_res", ("blocco_id",), lambda: T.functional_end(F.col("block_content")), r"regexp_matches(lower(block_content), '(?:^|\s)(?:di|a|da|in|con|su|per|tra|fra|il|lo|la|i|gli|le|un|una|del|della|dei|delle|al|alla|e|o)\s*$')"),
@@ -50,7 +50,7 @@ SCALARS: dict[str, tuple[str, tuple[str, ...], Callable[[], Column], str]] = {
     "x36_salvaged_names": ("entita", ("id",), lambda: F.size(T.salvaged_names(F.col("dati"))).cast("bigint"), r"""len(regexp_extract_all(dati, '"nome"\s*:\s*"([^"]*)"', 1))"""),
     "x38_dialogue": ("documents", ("doc_id",), lambda: T.dialogue(F.col("text")), r"2 * len(list_filter(list_filter(string_split(text, chr(10)), lambda l: trim(l) <> ''), lambda l: regexp_matches(l, '^\p{Lu}[\p{L}'' ]{0,30}:'))) >= len(list_filter(string_split(text, chr(10)), lambda l: trim(l) <> '')) and len(list_filter(string_split(text, chr(10)), lambda l: trim(l) <> '')) > 0"),
     "x39_html_lines": ("pag_n_res", ("blocco_id",), lambda: F.size(T.html_lines(F.col("block_content"))).cast("bigint"), r"len(list_filter(string_split(regexp_replace(block_content, '<[^>]*>', chr(10), 'g'), chr(10)), lambda x: trim(x) <> ''))"),
-    "x40_table_width": ("pag_n_res", ("blocco_id",), lambda: F.when(F.regexp_count(F.lower(F.regexp_extract(F.col("block_content"), r"(?is)<tr[^>]*>(.*?)</tr>", 1)), F.lit("<t[dh]")) >= 8, "wide").otherwise("normal"), "case when len(regexp_extract_all(lower(regexp_extract(block_content, '(?is)<tr[^>]*>(.*?)</tr>', 1)), '<t[dh]')) >= 8 then 'wide' else 'normal' end"),
+    "x40_table_width": ("pag_n_res", ("blocco_id",), lambda: T.table_width(F.col("block_content")), r"""case when c >= 14 then 't14' when c >= 11 then 't11' when c >= 8 then 't8' else '' end""".replace("c >=", r"""coalesce(list_sum(list_transform(regexp_extract_all(lower(regexp_extract(block_content, '(?is)<tr[^>]*>(.*?)</tr>', 1)), '<t[dh][^>]*>'), lambda x: coalesce(try_cast(nullif(regexp_extract(x, 'colspan=[^0-9]{0,1}([0-9]+)', 1), '') as int), 1))), 0) >=""")),
     "x41_mime": ("entita", ("id",), lambda: T.mime(F.col("file")), "case when file is null then 'application/octet-stream' when lower(file) like '%.md' then 'text/markdown' when lower(file) like '%.json' then 'application/json' else 'application/octet-stream' end"),
     "x42_safe_name": ("libri", ("id", "creato_il"), lambda: T.safe_name(F.col("titolo")), r"regexp_matches(titolo, '^[\p{L}\p{N}][\p{L}\p{N} ._''()\-]*$') and not contains(titolo, '..')"),
     "x43_hashes": ("libri", ("id", "creato_il"), lambda: F.concat(F.substring(F.md5("titolo"), 1, 8), F.lit("-"), F.substring(F.sha2("titolo", 256), 1, 16)), "substring(md5(titolo), 1, 8) || '-' || substring(sha256(titolo), 1, 16)"),
@@ -82,7 +82,7 @@ SCALARS: dict[str, tuple[str, tuple[str, ...], Callable[[], Column], str]] = {
     "k08_content_hash": ("documents", ("doc_id",), lambda: F.sha2(F.col("text"), 256), "sha256(text)"),
 }
 # no SQL: word ends of Unicode, or steps of arrays, that DuckDB's expressions lack; tested on fixtures
-NO_SQL = {"x24_dice_repair", "x23_snippet"}
+NO_SQL = {"x23_snippet"}
 
 
 def _query(name: str) -> Callable[[SparkSession, str], DataFrame]:

@@ -92,8 +92,8 @@ def test_per_key_folds(spark):
     assert {r.k: r["count"] for r in got} == {1: 4, 2: 1}
     rows = spark.createDataFrame([(1, y) for y in (0.0, 3.0, 6.0, 9.0)], "p int, y double")
     assert [r.banda for r in folds.bands(rows, ["p"], "y").orderBy("y").collect()] == [0, 0, 1, 1]
-    titles = spark.createDataFrame([(1, 1, 0, "A", 2), (1, 3, 0, "a", 2), (1, 20, 0, "A", 2)], "b int, p int, i int, t string, l int")
-    assert [r.livello_nuovo for r in folds.demoted_repeats(titles, "b", "p", ["i"], "t", "l").orderBy("p").collect()] == [2, 3, 2]
+    titles = spark.createDataFrame([(1, 1, 0, "Re orco", 2), (1, 3, 0, "re, orco", 2), (1, 5, 0, "Re orco", 2), (1, 8, 0, "RE ORCO", 2), (1, 20, 0, "Re orco", 2), (1, 21, 0, "re", 2)], "b int, p int, i int, t string, l int")
+    assert [r.livello_nuovo for r in folds.demoted_repeats(titles, "b", "p", ["i"], "t", "l").orderBy("p").collect()] == [2, 2, 2, 3, 2, 2]
 
 
 def test_labels(spark):
@@ -144,7 +144,7 @@ def test_upsert_is_idempotent_and_guarded(spark):
 
 def test_search_and_lines(spark):
     docs = spark.createDataFrame([(1, "s", "La regola\n" + "x " * 200 + "regola"), (2, "s", "regola"), (3, "s", None), (4, "s", "altro")], "doc_id long, source string, text string")
-    assert [(r.doc_id, r.punti) for r in search.ranked(docs, "la regola").collect()] == [(1, 357), (2, 20)] or [(r.doc_id) for r in search.ranked(docs, "la regola").collect()] == [1, 2]
+    assert [(r.doc_id, r.punti) for r in search.ranked(docs, "la regola").collect()] == [(1, 357), (2, 20)]
     assert search.ranked(docs, " ").count() == 0
     assert T.search_terms("della regola") == (["regola"], "della regola", True)
     pages = spark.createDataFrame([(1, 1), (1, 4), (2, 1)], "b int, p int")

@@ -9,10 +9,10 @@ import os
 import duckdb
 import pytest
 
-from scriptorium.plans import data_problems, folding, relational, scalars
+from scriptorium.plans import alignments, data_problems, folding, relational, scalars
 
-QUERIES = {**data_problems.QUERIES, **scalars.QUERIES, **relational.QUERIES, **folding.QUERIES}
-SQL = {**data_problems.SQL, **scalars.SQL, **relational.SQL}
+QUERIES = {**data_problems.QUERIES, **scalars.QUERIES, **relational.QUERIES, **alignments.QUERIES, **folding.QUERIES}
+SQL = {**data_problems.SQL, **scalars.SQL, **relational.SQL, **alignments.SQL}
 
 
 def norm(v):
