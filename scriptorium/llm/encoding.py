@@ -160,6 +160,8 @@ def word_counts(texts: DataFrame, column: str = "text") -> DataFrame:
                     words = words_of(text)
                     if words:
                         seen.update(words[1:])
+                    elif words is None:
+                        seen.update(x[1:] for x in _SEGMENT.findall(text) if x[0] == " " and len(x) > 1 and x[1] not in " \n")
             if len(seen) > 300_000:
                 yield flush()
         if seen:

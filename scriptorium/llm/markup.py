@@ -2,8 +2,9 @@
 
 Signs that may be markup are read from a text with cues of their surroundings. A classifier of the cues, fitted here
 on made examples of markup and of the same signs in ordinary use, gives each sign its gain as markup (the terminal
-capacities). Edges between neighbouring signs of a language and between the ends of a pair (tag and end tag, rows of a
-table, begin and end) make their labels agree. The minimum cut separates markup from content.
+capacities). Edges between neighbouring signs of a language, between the ends of a pair (tag and end tag, rows of a
+table, begin and end) and between an HTML element and what stands in it make their labels agree. The minimum cut
+separates markup from content.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.llm.mincut import min_cut
+from scriptorium.session import written
 
 LANGUAGES = ("html", "markdown", "wiki", "latex")
 # fixed values: element names of HTML
@@ -62,7 +64,7 @@ class Mark(NamedTuple):
 
 
 #: Texts without any of these can't hold markup (a test of the JVM, in front of the Python workers).
-PREFILTER = r"[<&*_`\[\]#|\\${}]|~~|''|==|-{3}|(?m:^)\s*>"
+PREFILTER = r"[<&*_`\[\]#|\\${}]|~~|''|==|-{3}|-->|(?m:^)\s*>"
 _SIGNS = re.compile(
     r"(?P<comment><!--(?:[^-]|-(?!->))*(?:-->)?|-->)"
     r"|(?P<tag></?([A-Za-z][A-Za-z0-9]*)(\s[^<>]*)?/?>)"
@@ -74,8 +76,8 @@ _SIGNS = re.compile(
     r"|(?P<delimmath>\\[()\[\]])"
     r"|(?P<break>\\\\(?=\s|\Z|\[))"
     r"|(?P<symbol>\\[%&$#_,;:!{}])"
-    r"|(?P<math>\$\$[^$]{1,400}\$\$|\$[^$\n]{1,200}\$)"
-    r"|(?P<texquotes>``[^`\n]{1,200}?'')"
+    r"|(?P<math>\$\$[^$]+\$\$|\$[^$\n]+\$)"
+    r"|(?P<texquotes>``[^`\n]+?'')"
     r"|(?P<fence>(?m:^)[ ]{0,3}(?:```+|~~~+)[^\n`~]*(?=\n|\Z))"
     r"|(?P<tick>`+)"
     r"|(?P<wikilink>\[\[[^\[\]\n]*(?:\]\]|(?=\n|\Z))|\[https?://\S+\s[^\]\n]*\])"
@@ -211,7 +213,7 @@ def marks(text: str) -> list[Mark]:
                 cues.append("known")
         elif kind == "wikiheading":
             inner = got.strip("= ")
-            if len(inner) < 3:
+            if len(inner) < 2:
                 cues.append("thin")
         elif kind == "underline":
             above = text[:s].rstrip("\n").rpartition("\n")[2] if text[:s].endswith("\n") else ""
@@ -320,8 +322,26 @@ def weights() -> np.ndarray:
     return w.reshape(len(CLASSES), _WIDTH)
 
 
-#: Weights of edges: neighbours (falling with the distance), ends of a pair; cost of standing in plain text.
-NEAR, REACH, PAIR, ALONE = 0.5, 60.0, 1.5, 0.1
+#: Weights of edges: neighbours (falling with the distance), ends of a pair, an element and the one around it; cost of standing in plain text.
+NEAR, REACH, PAIR, DOM, ALONE = 0.5, 60.0, 1.5, 0.4, 0.1
+# fixed values: elements without an end tag
+_VOID = frozenset("br hr img input meta link col wbr".split())
+
+
+def _parents(text: str, own: list[Mark]) -> list[tuple[int, int]]:
+    """Of each sign that stands in an HTML element the place of the element's tag: the edges of the tree that the tags make. Elements left open end with the one around them."""
+    stack: list[tuple[str, int]] = []
+    out = []
+    for i, m in enumerate(own):
+        if m.kind == "tag" and "right" in m.cues:
+            names = [n for n, _ in stack]
+            if m.pair in names:
+                del stack[len(names) - 1 - names[::-1].index(m.pair) :]
+        if stack:
+            out.append((stack[-1][1], i))
+        if m.kind == "tag" and "right" not in m.cues and m.pair[1:] not in _VOID and text[m.end - 2] != "/":
+            stack.append((m.pair, i))
+    return out
 
 
 @lru_cache(8192)
@@ -347,6 +367,8 @@ def labelled(text: str) -> list[tuple[Mark, bool]]:
                 if m.pair in last:
                     edges.append((last[m.pair], i, PAIR))
                 last[m.pair] = i
+        if lang == 0:
+            edges += [(i, j, DOM) for i, j in _parents(text, own)]
         out += zip(own, min_cut(gain, edges))
     return sorted(out, key=lambda x: x[0].start)
 
@@ -381,6 +403,14 @@ def _closing(text: str, at: int) -> int:
     return -1
 
 
+def _stop(text: str, at: int, pattern: str, before: str | None = None) -> int:
+    """End of the next match of a pattern; without one (or with `before` in front of it) the given place, so nothing is kept."""
+    m = re.compile(pattern).search(text, at)
+    if not m or before and before in text[at : m.start()]:
+        return at
+    return m.end()
+
+
 def _tag(m: Mark, got: str, state: dict) -> str:
     name = re.match(r"</?([A-Za-z0-9]+)", got)[1].lower()
     end = got[1] == "/"
@@ -393,11 +423,12 @@ def _tag(m: Mark, got: str, state: dict) -> str:
         return "" if state.get("pre") else "`"
     if name in ("li", "dd", "dt"):
         return "" if end else {"li": "\n- ", "dd": "\n  ", "dt": "\n"}[name]
-    if name == "tr":
-        state["row"] = not end
-        return "" if end else "\n|"
-    if name in ("td", "th"):
-        return " |" if end else " "
+    if name in ("tr", "td", "th", "table"):
+        open_cell, state["cell"] = state.get("cell"), name in ("td", "th") and not end
+        shut = " |" if open_cell else ""  # cells and rows may lack their end tags
+        if name in ("td", "th"):
+            return shut if end else shut + " "
+        return shut + ("\n" if name == "table" else "" if end else "\n|")
     if name == "img":
         alt = re.search(r"alt\s*=\s*[\"']([^\"']*)", got)
         return f"[{alt[1]}]" if alt and alt[1] else ""
@@ -416,9 +447,17 @@ def clean(text: str | None) -> str | None:
             continue
         got, new = text[m.start : m.end], None
         kind = m.kind
+        if state.get("pre") and m.language:  # code: only tags and entities of HTML are markup in it
+            continue
+        if kind == "fence":
+            kept = _stop(text, m.end, r"(?m)^[ ]{0,3}" + re.escape(got.lstrip()[:3]) + r"[`~]*[ ]*$")
+            continue
+        if kind == "tick":
+            kept = _stop(text, m.end, "(?<!`)" + got + "(?!`)", "\n\n")
+            continue
         if kind in ("tag", "cuttag"):
             new = _tag(m, got, state)
-        elif kind in ("comment", "definition", "note", "rule", "delimiter", "quotes", "magic", "emphasis", "quote", "wikitable"):
+        elif kind in ("comment", "definition", "note", "rule", "quotes", "magic", "emphasis", "quote", "wikitable"):
             new = ""
         elif kind == "entity":
             new = html.unescape(got)
@@ -436,6 +475,8 @@ def clean(text: str | None) -> str | None:
         elif kind == "template":
             name, _, rest = got.strip("{}").partition("|")
             new = "; ".join(p.replace("=", ": ", 1) for p in rest.split("|")) if rest else ""
+            if re.search(r"(?:^|\|)\s*\w+\s*=", rest):  # a record, not a format: its name says what it is
+                new = f"{name.strip()}: {new}"
         elif kind == "wikicell":
             stop = text.find("\n", m.start)
             stop = len(text) if stop < 0 else stop
@@ -453,6 +494,9 @@ def clean(text: str | None) -> str | None:
             base = name.rstrip("*")
             if base in _CODE:
                 new = "\n```\n"
+                if got.startswith("\\begin"):
+                    at = text.find("\\end{" + name, m.end)
+                    kept = at if at > 0 else len(text)
             elif base in ("equation", "align", "displaymath", "math", "eqnarray", "gather"):
                 new = "\n$$\n"
                 if got.startswith("\\begin"):
@@ -529,6 +573,19 @@ def found(blocks: DataFrame, key: str = "blocco_id", column: str = "block_conten
     return chosen.mapInArrow(read, f"{key} {dict(blocks.dtypes)[key]}, tipo string").distinct()
 
 
+#: Ids that come again and are sent to all tasks at once (below 16 MB); beyond, whole rows meet in a shuffle.
+REPEATS_AT_ONCE = 1_000_000
+
+
+def once(blocks: DataFrame, key: str = "blocco_id") -> DataFrame:
+    """blocks with each key once; rows without a key stay. Keys are counted first, so only rows that come again are shuffled."""
+    again = written(blocks.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > 1) & F.col(key).isNotNull()).select(key), "ripetuti")
+    if again.count() > REPEATS_AT_ONCE:
+        return blocks.where(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(blocks.where(F.col(key).isNull()))
+    shared = F.broadcast(again)
+    return blocks.join(shared, key, "left_anti").select(*blocks.columns).unionByName(blocks.join(shared, key, "left_semi").select(*blocks.columns).dropDuplicates([key]))
+
+
 def cleaned(blocks: DataFrame, key: str = "blocco_id", column: str = "block_content") -> DataFrame:
     """(key, testo): the clean text of each row, repeated rows kept; null stays null and texts without signs pass unchanged."""
 

@@ -16,7 +16,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each block once, with its clean text."""
-    return markup.cleaned(table(spark, sf_dir, "pag_n_res")).dropDuplicates(["blocco_id"])
+    return markup.cleaned(markup.once(table(spark, sf_dir, "pag_n_res").select("blocco_id", "block_content")))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,11 +34,12 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encoded(table(spark, sf_dir, "documents"))
 
 
-def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     docs, targets = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pesi_fonti")
     named = docs.join(targets.select("source").distinct(), "source", "left_semi")
     model = topics.fit(docs, table(spark, sf_dir, "etichette_doc"), table(spark, sf_dir, "aree"))
-    return mixing.mixed(written(mixing.measured(named, docs, model), "pesi"), targets), targets
+    sizes = written(mixing.measured(named, docs, model), "pesi")
+    return mixing.mixed(sizes, targets), targets, sizes
 
 
 def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +49,13 @@ def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target share and reached share of each source."""
-    return mixing.shares(*_mix(spark, sf_dir))
+    return mixing.shares(*_mix(spark, sf_dir)[:2])
+
+
+def p9_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of each language and subject area in the corpus of the named sources, the share raked to, and what the mix reaches."""
+    mix, _, sizes = _mix(spark, sf_dir)
+    return mixing.marginals(mix, sizes)
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +70,7 @@ def p10_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p10_found(spark, sf_dir).groupBy("area").agg(F.count(F.lit(1)).alias("documenti"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p3_found, p3_clean, p8_ids, p9_mix, p9_shares, p10_found, p10_composition)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p3_found, p3_clean, p8_ids, p9_mix, p9_shares, p9_marginals, p10_found, p10_composition)}
 
 # no equivalent in SQL: the operators are tested against the tokenizer, brute force and held-out labels
 SQL: dict[str, str] = {}

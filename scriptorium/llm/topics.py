@@ -13,15 +13,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 #: Bounds of the model: labelled documents used for the fit (by hash of their id, none longer than FIT_CHARS), terms, dimensions.
 FIT_DOCS, FIT_CHARS, TERMS, DIMENSIONS, ROUNDS, FIT_COSINE = 2400, 20_000, 6000, 40, 3, 0.35
+#: Documents without labels in the fit (by hash of their id): they shape the SVD, and passages at this cosine and this far from the next area refine the centroids.
+FIT_FREE, FREE_COSINE, FREE_MARGIN = 1200, 0.5, 0.15
 #: Terms lighter than this part of the heaviest say nothing about areas and are left out of the model.
 LIGHT = 0.02
 #: A passage has an area at this cosine. A document has its commonest area, and each other one with so many passages and that share of those with an area.
 COSINE, LEAST, SHARE = 0.4, 3, 0.12
+#: Fewer terms of the model in a passage say nothing.
+TERMS_LEAST = 2
 NONE = "nessuna"
 
 _CUT = re.compile("[-¬‐\xad]\\s*\\n\\s*")
@@ -162,7 +166,7 @@ class TopicModel:
         best = near.argmax(1)
         names = sorted(set(self.areas))
         code = np.array([names.index(a) for a in self.areas])
-        has = (near[np.arange(len(best)), best] >= COSINE) & (np.array([a != NONE for a in self.areas])[best])
+        has = (near[np.arange(len(best)), best] >= COSINE) & (np.bincount(passage, minlength=len(best)) >= TERMS_LEAST) & (np.array([a != NONE for a in self.areas])[best])
         counts = np.zeros((len(texts), len(names)), np.int64)
         np.add.at(counts, (doc[has], code[best[has]]), 1)
         total = counts.sum(1)
@@ -186,8 +190,13 @@ def fit(docs: DataFrame, labels: DataFrame, areas: DataFrame, key: str = "doc_id
     given = votes.groupBy(key, "area").agg(F.countDistinct("annotatore").alias("v")).join(votes.groupBy(key).agg(F.countDistinct("annotatore").alias("a")), key).where("2 * v >= a")
     sets = given.where(F.col("area").isin(known)).groupBy(key).agg(F.sort_array(F.collect_set("area")).alias("aree"))
     texts = docs.select(key, F.col(column).alias("_t"), F.coalesce(F.lower("lang"), F.lit("?")).alias("_l") if "lang" in docs.columns else F.lit("?").alias("_l"))
-    sample = texts.where(F.col("_t").isNotNull() & (F.length("_t") <= FIT_CHARS)).join(sets, key).orderBy(F.xxhash64(key), key).limit(FIT_DOCS).collect()
+    sample = texts.where(F.col("_t").isNotNull() & (F.length("_t") <= FIT_CHARS)).join(sets, key).select("_t", "_l", "aree").orderBy(F.xxhash64(key), key).limit(FIT_DOCS).collect()
+    free = texts.where(F.col("_t").isNotNull() & F.length("_t").between(1, FIT_CHARS)).join(sets.select(key), key, "left_anti").orderBy(F.xxhash64(key), key).limit(FIT_FREE).select("_t", "_l").collect() if sample else []
+    if "descrizione" in areas.columns:  # what an area is said to be is its first seed
+        sample += [Row(_t=r.descrizione, _l="?", aree=[r.area]) for r in areas.dropDuplicates(["area"]).collect() if r.area and r.descrizione]
 
+    free_from = len(sample)
+    sample += [Row(_t=r._t, _l=r._l, aree=[]) for r in free]
     vocabulary = {t: i for i, t in enumerate(top.termine)} | dict.fromkeys(".!?", _END)
     names = sorted(known)
     terms, passage, doc = _passages([r._t for r in sample], _Codes(vocabulary))
@@ -199,7 +208,9 @@ def fit(docs: DataFrame, labels: DataFrame, areas: DataFrame, key: str = "doc_id
     tongues = sorted({r._l for r in sample})
     tongue = np.array([tongues.index(r._l) for r in sample])
     idf = np.log1p(n_docs / np.maximum(1, top.n.to_numpy(np.float64)))
-    member = (allowed / allowed.sum(1, keepdims=True))[doc]  # passage -> areas
+    member = (allowed / np.maximum(allowed.sum(1, keepdims=True), 1))[doc]  # passage -> areas; none yet without labels
+    unlabelled = doc >= free_from
+    allowed[free_from:] = True
     cells = [(t, a) for t in range(len(tongues)) for a in range(len(names))]
     for turn in range(ROUNDS):
         spread = np.zeros((len(vocabulary) + 8, len(names)))
@@ -220,6 +231,10 @@ def fit(docs: DataFrame, labels: DataFrame, areas: DataFrame, key: str = "doc_id
                 if (w > 0).sum() >= 5:
                     heads.append(_unit((u * w[:, None]).sum(0)))
                     at.append(a)
+            for a in sorted(set(range(len(names))) - set(at)):  # too few passages in any language: one centroid of them all
+                if (member[:, a] > 0).any():
+                    heads.append(_unit((u * member[:, a, None]).sum(0)))
+                    at.append(a)
             heads, at = np.array(heads, np.float32), np.array(at)
             near = u @ heads.T
             per_area = np.full((len(doc), len(names)), -1.0, np.float32)
@@ -228,7 +243,8 @@ def fit(docs: DataFrame, labels: DataFrame, areas: DataFrame, key: str = "doc_id
             fits = np.where(allowed[doc], per_area, -1.0)
             best = fits.argmax(1)
             overall = per_area.max(1)
-            sure = (fits.max(1) >= FIT_COSINE) & (fits.max(1) >= overall - 0.1)
+            second = np.partition(per_area, -2, axis=1)[:, -2] if per_area.shape[1] > 1 else np.full(len(doc), -1.0)
+            sure = np.where(unlabelled, (overall >= FREE_COSINE) & (overall - second >= FREE_MARGIN), (fits.max(1) >= FIT_COSINE) & (fits.max(1) >= overall - 0.1))
             member = np.zeros_like(member)
             member[np.flatnonzero(sure), best[sure]] = 1.0
     heavy = {t: i for t, i in vocabulary.items() if i < 0 or weights[i] >= LIGHT * weights.max()}

@@ -12,7 +12,8 @@ from scriptorium.llm import mixing, plans, topics
 from scriptorium.session import table
 
 
-def test_subject_areas_of_held_out_documents(spark, sf):
+def test_subject_areas_of_held_out_documents(spark):
+    sf = "/root/testdata/sf0.01"  # sf0.001 has nine documents to fit and nine to test
     docs, labels, areas = (table(spark, sf, t) for t in ("documents", "etichette_doc", "aree"))
     # documents that all annotators gave the same areas; half of them fit, half test
     sets = labels.distinct().groupBy("doc_id", "annotatore").agg(F.sort_array(F.collect_set("area")).alias("a")).groupBy("doc_id").agg(F.collect_set("a").alias("s")).where("size(s) = 1")
@@ -23,7 +24,7 @@ def test_subject_areas_of_held_out_documents(spark, sf):
     for r in topics.assigned(docs, model).collect():
         got.setdefault(r.doc_id, set()).add(r.area)
     tp = sum(len(truth[d] & got.get(d, set())) for d in truth)
-    assert tp >= 0.7 * sum(map(len, truth.values())) and tp >= 0.7 * sum(len(got.get(d, set())) for d in truth)
+    assert tp >= 0.75 * sum(map(len, truth.values())) and tp >= 0.75 * sum(len(got.get(d, set())) for d in truth)
 
 
 def test_blank_texts_and_no_labels(spark, sf):
@@ -83,3 +84,16 @@ def test_mixture(spark, sf):
     assert mixing.mixed(docs.limit(0), t).count() == 0
     caps = {r.source: r.max_ripetizioni for r in table(spark, sf, "pesi_fonti").collect()}
     assert all(r.ripetizioni <= caps[r.source] for r in plans.p9_mix(spark, sf).collect())
+
+
+def test_shares_follow_tokens_of_any_size(spark):
+    rng = random.Random(7)
+    rows = [(i, rng.choice("abc"), rng.choice(["it", "en-GB", "??"]), rng.choice(["p", "q", None]), int(rng.lognormvariate(5, 1.2)) + 1) for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, area string, n_token long")
+    t = spark.createDataFrame([("a", 0.5, 1), ("b", 0.3, 2), ("c", 0.1, 1), ("void", 0.1, 1)], "source string, peso double, max_ripetizioni int")
+    mix = mixing.mixed(docs, t)
+    report = {r.source: (r.obiettivo, r.quota) for r in mixing.shares(mix, t).collect()}
+    assert all(abs(goal - got) < 0.001 for goal, got in report.values()) and report["void"] == (0.0, 0.0)
+    margins = mixing.marginals(mix, docs).collect()
+    assert {r.classe for r in margins if r.margine == "lang"} == {"it", "en", "?"}
+    assert all(abs(r.quota_corpus - r.quota_mix) < 0.02 for r in margins)
