@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptorium.functions import geometry as G
+from scriptorium.operators import grams
 
 
 def longest_prefix(headings: DataFrame, names: DataFrame, heading: str, name: str, least: int = 3) -> DataFrame:
@@ -60,16 +61,16 @@ def nearest(rows: DataFrame, keys: list[str], distance: Column, order: list[str]
 
 
 def trigram_pairs(left: DataFrame, right: DataFrame, a: str, b: str, grams_a: Column, grams_b: Column, least: float) -> DataFrame:
-    """(a, b, jaccard) of names that share at least so much of their trigrams, by an inverted join on distinct names.
+    """(a, b, jaccard) of distinct names that share at least so much of their trigrams: an exact test on the pairs of `grams.candidates`."""
+    return _as_alike(grams.candidates(left, right, a, b, grams_a, grams_b, least), a, b, grams_a, grams_b, least)
 
-    A pair at least so alike shares one of the rarest (1 - least) part of a's trigrams, so only these are joined.
-    """
-    one = left.select(a).where(F.col(a).isNotNull()).distinct().withColumn("_ga", grams_a)
-    two = right.select(b).where(F.col(b).isNotNull()).distinct().withColumn("_gb", grams_b)
-    held = two.select(b, F.explode("_gb").alias("g"))
-    df = held.groupBy("g").agg(F.count(F.lit(1)).alias("_df"))
-    asked = one.select(a, F.size("_ga").alias("_n"), F.explode("_ga").alias("g")).join(df, "g")
-    rare = asked.withColumn("_r", F.row_number().over(Window.partitionBy(a).orderBy("_df", "g"))).where(F.col("_r") <= F.floor(F.col("_n") * (1 - least)) + 1)
-    near = rare.select(a, "g").join(held, "g").select(a, b).distinct().join(one, a).join(two, b)
+
+def trigram_twins(names: DataFrame, a: str, b: str, grams_a: Column, grams_b: Column, least: float) -> DataFrame:
+    """trigram_pairs of the names of one table, in column a, with a < b; read and posted once."""
+    return _as_alike(grams.candidates_within(names, a, b, grams_a, least), a, b, grams_a, grams_b, least)
+
+
+def _as_alike(near: DataFrame, a: str, b: str, grams_a: Column, grams_b: Column, least: float) -> DataFrame:
+    near = near.withColumn("_ga", grams_a).withColumn("_gb", grams_b)
     score = F.size(F.array_intersect("_ga", "_gb")) / F.size(F.array_union("_ga", "_gb"))
-    return near.select(a, b, F.round(score, 4).alias("jaccard")).where(F.col("jaccard") >= least)
+    return near.select(a, b, F.explode(F.array(F.round(score, 4))).alias("jaccard")).where(F.col("jaccard") >= least)  # exploded: else the filter scores once more

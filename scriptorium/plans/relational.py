@@ -232,8 +232,9 @@ def j30_ordered_fixes(spark, d):
 @query()
 def j20_trigram_names(spark, d):
     """Pairs of alike names over all names; no SQL: a nested loop there."""
-    names = table(spark, d, "entita").select(T.ascii_words(F.col("nome")).alias("uno")).where(F.length("uno") > 2).distinct()
-    return matching.trigram_pairs(names, names.withColumnRenamed("uno", "due"), "uno", "due", T.shingles(F.col("uno")), T.shingles(F.col("due")), 0.6).where("uno < due")
+    # exploded: else each filter folds the names once more
+    names = table(spark, d, "entita").select(F.explode(F.array(T.ascii_words(F.col("nome")))).alias("uno")).where(F.length("uno") > 2).distinct()
+    return matching.trigram_twins(names, "uno", "due", T.shingles(F.col("uno")), T.shingles(F.col("due")), 0.6)
 
 
 # ---- aggregations ----

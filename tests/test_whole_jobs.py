@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
-from scriptorium.operators import lines, search
+from scriptorium.functions import text as T
+from scriptorium.operators import grams, lines, matching, search
 from scriptorium.plans import relational
 from scriptorium.session import table
 
@@ -30,3 +34,41 @@ def test_rare_and_short_terms_have_postings(spark):
 
 def test_the_index_is_a_query():
     assert "x79_postings" in relational.QUERIES
+
+
+def _grams(s):
+    s = "  " + s + " "
+    return {s[i : i + 3] for i in range(len(s) - 2)}
+
+
+def _alike(x, y):
+    return int(len(_grams(x) & _grams(y)) / len(_grams(x) | _grams(y)) * 1e4 + 0.5) / 1e4  # half up, as Spark rounds
+
+
+def _names(seed, n):
+    rng = random.Random(seed)
+    heads, parts = ["torre d ambra di", "torre del sale di", "lupo di", ""], ["gro", "fen", "glin", "dru", "ba", "co"]
+    return sorted({f"{rng.choice(heads)} {''.join(rng.choice(parts) for _ in range(rng.randrange(1, 5)))}".strip() for _ in range(n)} | {"x" * 200, "ab" * 90, "ab" * 90 + "c", "".join(map(chr, range(200, 500))), "".join(map(chr, range(201, 501)))})
+
+
+@pytest.mark.parametrize("codes,block", [(1 << 16, 1 << 15), (1 << 16, 40), (32, 1 << 15), (32, 40)])
+def test_names_of_common_trigrams_find_all_their_like(spark, monkeypatch, codes, block):
+    monkeypatch.setattr(grams, "CODES", codes)
+    monkeypatch.setattr(grams, "BLOCK", block)
+    names = _names(3, 500)
+    df = spark.createDataFrame([(x,) for x in [*names, names[0], None]], "a string")
+    for least in (0.35, 0.6, 1.0):
+        got = [tuple(r) for r in matching.trigram_twins(df, "a", "b", T.shingles(F.col("a")), T.shingles(F.col("b")), least).collect()]
+        assert sorted(got) == [(x, y, _alike(x, y)) for x in names for y in names if x < y and _alike(x, y) >= least]
+    left, right = names[::2] + names[1::4], names[1::2] + names[::4]
+    one, two = (spark.createDataFrame([(x,) for x in side], f"{c} string") for side, c in ((left, "a"), (right, "b")))
+    got = [tuple(r) for r in matching.trigram_pairs(one, two, "a", "b", T.shingles(F.col("a")), T.shingles(F.col("b")), 0.6).collect()]
+    assert sorted(got) == sorted((x, y, _alike(x, y)) for x in left for y in right if _alike(x, y) >= 0.6)
+
+
+def test_few_pairs_of_names_leave_the_comparison(spark, sf):
+    alike = relational.QUERIES["j20_trigram_names"](spark, sf)
+    assert "Join" not in alike._jdf.queryExecution().executedPlan().toString()  # the pairs that share a rare trigram were joined and shuffled
+    names = spark.createDataFrame([(x,) for x in _names(4, 2000)], "a string")
+    asked = grams.candidates_within(names, "a", "b", T.shingles(F.col("a")), 0.6).count()
+    assert asked <= 1.05 * matching.trigram_twins(names, "a", "b", T.shingles(F.col("a")), T.shingles(F.col("b")), 0.6).count()
