@@ -60,7 +60,7 @@ SCALARS: dict[str, tuple[str, tuple[str, ...], Callable[[], Column], str]] = {
     "x53_expired": ("orders", ("o_orderkey",), lambda: F.date_add(F.col("o_orderdate").cast("date"), 90) <= F.lit("1998-01-01").cast("date"), "o_orderdate::date + 90 <= date '1998-01-01'"),
     "x60_centre": ("pag_n_res", ("blocco_id",), lambda: F.round(G.centre(G.box(F.col("block_bbox")))[0], 3), "round((block_bbox[1] + block_bbox[3]) / 2, 3)"),
     "x61_covered": ("pag_n_res", ("blocco_id",), lambda: F.round(G.covered(G.box(F.col("block_bbox")), (F.lit(0.0), F.lit(0.0), F.col("width"), F.col("height") / 2)), 6), "case when block_bbox is null or len(block_bbox) < 4 then 0.0 when greatest(block_bbox[3]-block_bbox[1],0.0)*greatest(block_bbox[4]-block_bbox[2],0.0) > 0 then round(greatest(least(block_bbox[3],width)-greatest(block_bbox[1],0.0),0.0)*greatest(least(block_bbox[4],height/2)-greatest(block_bbox[2],0.0),0.0)/(greatest(block_bbox[3]-block_bbox[1],0.0)*greatest(block_bbox[4]-block_bbox[2],0.0)),6) else 0.0 end"),
-    "x62_colour_distance": ("part", ("p_partkey",), lambda: F.round(G.rgb_distance(F.col("p_partkey").cast("int") * 4099, F.lit(8421504)), 4), "round(sqrt((((p_partkey*4099)>>16 & 255)-128)**2 + (((p_partkey*4099)>>8 & 255)-128)**2 + ((p_partkey*4099 & 255)-128)**2), 4)"),
+    "x62_colour_distance": ("part", ("p_partkey",), lambda: F.round(G.rgb_distance(F.col("p_partkey").cast("bigint") * 4099, F.lit(8421504)), 4), "round(sqrt((((p_partkey*4099)>>16 & 255)-128)**2 + (((p_partkey*4099)>>8 & 255)-128)**2 + ((p_partkey*4099 & 255)-128)**2), 4)"),
     "x63_third": ("pag_n_res", ("blocco_id",), lambda: G.third(G.box(F.col("block_bbox")), F.col("width")), "case when (block_bbox[1]+block_bbox[3])/2 < width/3 then 'left' when (block_bbox[1]+block_bbox[3])/2 > width*2/3 then 'right' else 'centre' end"),
     "x64_level_by_height": ("pag_n_res", ("blocco_id",), lambda: F.when((F.col("block_label") == "doc_title") | (G.per_mille(G.box(F.col("block_bbox")), F.col("height")) >= 35), 1).otherwise(2), "case when block_label = 'doc_title' or (block_bbox[4]-block_bbox[2])*1000/height >= 35 then 1 else 2 end"),
     "x65_rescaled": ("pag_n_res", ("blocco_id",), lambda: F.round(G.rescaled(G.box(F.col("block_bbox")), 1000 / F.col("width"), 1000 / F.col("height"))[3], 3), "round(block_bbox[4] * (1000 / height), 3)"),

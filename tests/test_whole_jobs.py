@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from scriptorium.functions import text as T
 from scriptorium.operators import grams, lines, matching, search
-from scriptorium.plans import relational
+from scriptorium.plans import relational, scalars
 from scriptorium.session import table
 
 
@@ -72,3 +73,11 @@ def test_few_pairs_of_names_leave_the_comparison(spark, sf):
     names = spark.createDataFrame([(x,) for x in _names(4, 2000)], "a string")
     asked = grams.candidates_within(names, "a", "b", T.shingles(F.col("a")), 0.6).count()
     assert asked <= 1.05 * matching.trigram_twins(names, "a", "b", T.shingles(F.col("a")), T.shingles(F.col("b")), 0.6).count()
+
+
+def test_colours_of_keys_beyond_32_bits(spark, tmp_path):
+    keys = [0, 1, 523907, 523908, 1199999, 1 << 31, 1 << 40, None]
+    spark.createDataFrame([(k,) for k in keys], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    got = scalars.QUERIES["x62_colour_distance"](spark, str(tmp_path)).collect()
+    want = duckdb.sql(scalars.SQL["x62_colour_distance"].replace("FROM part", f"FROM '{tmp_path}/part.parquet/*.parquet'")).fetchall()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr) and len(got) == len(keys)
